@@ -1,0 +1,5 @@
+"""Left empty on purpose: every operator in this project is a batch operator.
+
+Re-scoring is a repeated batch run that appends a snapshot to the score history
+(``veritable.operators.score.history_snapshot``).
+"""
