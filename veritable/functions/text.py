@@ -25,9 +25,10 @@ CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 LEADING_LETTERS = "^[A-Za-z]+"
 
 
-def null_if_token(c: Column) -> Column:
-    """NULL for NA-like cells. Nothing is trimmed first: ``' '`` stays text."""
-    return F.when(~c.isin(*NULL_TOKENS), c)
+def null_if_token(name: str) -> str:
+    """SQL text: a column with NA-like cells as NULL. Nothing is trimmed first: ``' '`` stays."""
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+    return f"CASE WHEN `{name}` NOT IN ({tokens}) THEN `{name}` END AS `{name}`"
 
 
 def strip(c: Column) -> Column:

@@ -192,4 +192,28 @@ def cell_rules() -> list[Rule]:
     return rules
 
 
+# The view each rule is published as, by (table, rule name).
+VIEW_NAMES = {
+    ("products", "missing_required_field"): "v_completeness_products",
+    ("purchase_orders", "missing_required_field"): "v_completeness_purchase_orders",
+    ("products", "duplicate_product_supplier"): "v_uniqueness_products",
+    ("products", "orphan_supplier_id"): "v_validity_orphan_supplier",
+    ("products", "non_positive_price"): "v_validity_price_range",
+    ("products", "non_canonical_category"): "v_consistency_category",
+    ("purchase_orders", "non_canonical_delivery_status"): "v_consistency_delivery_status",
+    ("inventory_transactions", "non_canonical_transaction_type"):
+        "v_consistency_transaction_type",
+    ("products", "non_standard_sku_prefix"): "v_consistency_sku_prefix",
+    ("purchase_orders", "non_primary_date_format"): "v_consistency_date_format",
+    ("purchase_orders", "delivery_before_order"): "v_accuracy_po_dates",
+    ("inventory_transactions", "sign_mismatch"): "v_accuracy_transaction_sign",
+}
+
 RULESETS = {"sql": sql_rules, "cell": cell_rules}
+
+
+def select_rules(
+    rules: Sequence[Rule], table: str | None = None, dimension: str | None = None
+) -> list[Rule]:
+    return [r for r in rules
+            if table in (None, r.table) and dimension in (None, r.dimension)]

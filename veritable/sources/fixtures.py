@@ -6,9 +6,10 @@ for the source table, ``{five}`` for the dialect's way to make five rows of one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from veritable.operators.evaluate import Frames
 from veritable.sources.raw import normalize_nulls
 
 _PREFIX = "CASE {k} % 4 WHEN 0 THEN 'ITM' WHEN 1 THEN 'SKU' WHEN 2 THEN 'PRO' ELSE 'PROD' END"
@@ -153,5 +154,21 @@ def unnormalized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{table: source})
 
 
-def dirty_frames(spark: SparkSession, sf_dir: str) -> Frames:
-    return {n: normalize_nulls(unnormalized(spark, sf_dir, n)) for n in FIXTURES}
+class DirtyFrames(Mapping[str, DataFrame]):
+    """The five dirty tables of one scale factor; a table is set up when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            raw = unnormalized(self._spark, self._sf_dir, name)
+            self._frames[name] = normalize_nulls(raw)
+        return self._frames[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(FIXTURES)
+
+    def __len__(self) -> int:
+        return len(FIXTURES)

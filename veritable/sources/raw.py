@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritable.functions.text import null_if_token
@@ -14,7 +13,7 @@ from veritable.sources.schemas import ENTITIES
 
 def normalize_nulls(df: DataFrame) -> DataFrame:
     """NA-like tokens become NULL in every column, in one projection."""
-    return df.select(*[null_if_token(F.col(c)).alias(c) for c in df.columns])
+    return df.selectExpr(*[null_if_token(c) for c in df.columns])
 
 
 def read_csv(
