@@ -144,7 +144,7 @@ def _count_orphans(df: DataFrame, parent: DataFrame, rule: ForeignKeyRule) -> Da
         df, rule.normalized(F.col(rule.column)),
         parent, rule.normalized(F.col(rule.parent_column)),
     )
-    bad = F.when(F.col("key").isNotNull() & F.col("found").isNull(), F.col("n"))
+    bad = F.when(~F.col("no_key") & F.col("found").isNull(), F.col("n"))
     return _unpivot_counts(keys.agg(F.sum("n").alias("rows"), F.sum(bad).alias("c0")), [rule])
 
 

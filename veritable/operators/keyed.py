@@ -49,21 +49,18 @@ def duplicated(df: DataFrame, keys: Sequence[str], record_id: str) -> DataFrame:
 def surplus(df: DataFrame, keys: Sequence[str], record_id: str, order: Column) -> DataFrame:
     """Ids of all rows but the first of each key; the first has the least (order, id).
 
-    Rows that tie with the first are copies of it. They are counted per key and one is left
-    out, so that no ranking over a whole group is needed.
+    Equal rows are counted and the first's count is lowered by one, so that no ranking over a
+    whole group is needed and copies of the first row are kept.
     """
     position = F.struct(order.alias("o"), F.col(record_id).alias("id"))
     rows = df.select(record_id, *keys, position.alias("position"))
     groups = group_sizes(rows, keys, F.min("position").alias("first")).filter("n > 1").drop("n")
     members = attach(rows, groups, keys, "inner")
-    later = members.filter(F.col("position") != F.col("first")).select(record_id)
-    ties = (
-        members.filter(F.col("position") == F.col("first"))
-        .groupBy(*keys, record_id)
-        .agg((F.count(F.lit(1)) - 1).alias("n"))
-        .filter("n > 0")
-    )
-    return later.unionByName(repeat_rows(ties.select(record_id, "n")))
+    is_first = (F.col("position") == F.col("first")).cast("long")
+    copies = group_sizes(members.withColumn("is_first", is_first), [*keys, record_id, "is_first"])
+    later = copies.select(record_id, (F.col("n") - F.col("is_first")).alias("n"))
+    once = later.filter("n = 1").select(record_id)
+    return once.unionByName(repeat_rows(later.filter("n > 1")))
 
 
 def repeat_rows(df: DataFrame) -> DataFrame:
@@ -86,8 +83,13 @@ def missing_keys(
 ) -> DataFrame:
     """Distinct child keys with their row count ``n`` and whether a parent ``found`` them.
 
-    NULL child keys are found only when the parent has a NULL key too.
+    NULL counts as a key (``no_key``): it is found only when the parent has a NULL key too.
+    Both sides are grouped by what they are joined on, so the join adds no shuffle.
     """
-    keys = group_sizes(child.select(child_key.alias("key")), ["key"])
-    parents = parent.select(parent_key.alias("key")).distinct().withColumn("found", F.lit(True))
-    return attach(keys, parents, ["key"], "left")
+    def parts(key: Column) -> list[Column]:
+        return [F.coalesce(key, F.lit("")).alias("key"), key.isNull().alias("no_key")]
+
+    on = ["key", "no_key"]
+    keys = group_sizes(child.select(parts(child_key)), on)
+    parents = parent.select(parts(parent_key)).distinct().withColumn("found", F.lit(True))
+    return keys.join(parents, on, "left")
