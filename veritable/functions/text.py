@@ -36,25 +36,27 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def _capitalize(c: Column, word: str) -> Column:
-    runs = F.regexp_extract_all(c, F.lit(f"[{word}]+|[^{word}]+"), F.lit(0))
-    capitalized = F.transform(
-        runs,
-        lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substr(run, F.lit(2)))),
-    )
-    return F.array_join(capitalized, "")
+# A character that Unicode reserves and no text holds, before a space that starts a word.
+_WORD_START = "\uffff "
 
 
 def _not_capitalized(c: Column, word: str) -> Column:
-    """The same test without building the string: one regex search per value."""
+    """A word starts in lower case or goes on in upper case. One regex search per value."""
     return c.rlike(rf"(?<![{word}])\p{{Ll}}|(?<=[{word}])[\p{{Lu}}\p{{Lt}}]")
 
 
-def initcap(c: Column) -> Column:
-    """Capitalize words made of letters and digits: ``in-transit 3d`` → ``In-Transit 3d``.
+def _capitalize(c: Column, word: str) -> Column:
+    """``F.initcap`` with words of our own: it starts a word after a space, so mark each start.
 
-    ``F.initcap`` splits on spaces only and would give ``In-transit``.
+    Most values are canonical already and are passed on as they are.
     """
+    marked = F.regexp_replace(c, f"(?<![{word}])(?=[{word}])", _WORD_START)
+    rebuilt = F.replace(F.initcap(marked), F.lit(_WORD_START), F.lit(""))
+    return F.when(_not_capitalized(c, word), rebuilt).otherwise(c)
+
+
+def initcap(c: Column) -> Column:
+    """Capitalize words made of letters and digits: ``in-transit 3d`` → ``In-Transit 3d``."""
     return _capitalize(c, ALNUM)
 
 

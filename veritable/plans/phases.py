@@ -29,8 +29,15 @@ def raw_frames(store: Store) -> dict[str, DataFrame]:
     return {name: store.read("raw", name) for name in ENTITIES if store.exists("raw", name)}
 
 
-def run_profile(store: Store, reports: str) -> dict[str, DataFrame]:
-    """Raw tables → profiling tables, each also as a CSV report."""
+def _write_reports(tables: Mapping[str, DataFrame], folder: str | None) -> None:
+    """CSV copies of result tables, for those who want them."""
+    if folder:
+        for name, df in tables.items():
+            write_csv(df, f"{folder}/{name}")
+
+
+def run_profile(store: Store, reports: str | None = None) -> dict[str, DataFrame]:
+    """Raw tables → profiling tables."""
     frames = raw_frames(store)
     tables = {
         "profiling_column_summary": profile.column_profile(frames),
@@ -40,15 +47,15 @@ def run_profile(store: Store, reports: str) -> dict[str, DataFrame]:
         "profiling_date_format_violations": profile.date_violations(frames),
     }
     written = {n: store.write(df, "governance", n) for n, df in tables.items()}
-    for name, df in written.items():
-        write_csv(df, f"{reports}/{name}")
+    _write_reports(written, reports)
     return written
 
 
 def run_assess(
-    store: Store, reports: str, ruleset: str = "sql", measured_at: dt.datetime | None = None
+    store: Store, reports: str | None = None, ruleset: str = "sql",
+    measured_at: dt.datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Raw tables → violations log → scorecards, and a snapshot in the score history."""
+    """Raw tables → violations log → scorecards; the ``sql`` rules also add to the history."""
     frames, exact = raw_frames(store), ruleset == "sql"
     catalog = rules.RULESETS[ruleset]()
     if exact:
@@ -64,12 +71,11 @@ def run_assess(
         store.append_history(snapshot)
     out = {"violations_log": log if exact else evaluate.cell_log(log),
            "quality_scorecard": score.ordered(card), "quality_scorecard_domain": domains}
-    for name, df in out.items():
-        write_csv(df, f"{reports}/{name}")
+    _write_reports(out, reports)
     return {**out, "table_row_counts": rows}
 
 
-def run_standardize(store: Store, reports: str) -> dict[str, DataFrame]:
+def run_standardize(store: Store, reports: str | None = None) -> dict[str, DataFrame]:
     """Raw tables → audit tables with raw and clean columns → typed staging tables.
 
     Key collisions and broken primary keys stop the run before a staging table is written.
@@ -90,9 +96,8 @@ def run_standardize(store: Store, reports: str) -> dict[str, DataFrame]:
     for table, df in final.items():
         out[table] = store.write(
             standardize.to_staging(df, ENTITIES[table]), "staging", table)
-    for table, df in audit.items():
-        write_csv(df, f"{reports}/staging_{table}")
-    write_csv(final["products"], f"{reports}/staging_products_final")
+    _write_reports({f"staging_{t}": df for t, df in audit.items()}, reports)
+    _write_reports({"staging_products_final": final["products"]}, reports)
     out["remediation_summary"] = store.write(
         report.remediation_summary(audit["products"], frames),
         "governance", "remediation_summary")

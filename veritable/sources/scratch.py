@@ -12,14 +12,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local run without one gets a temporary folder."""
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    local = tempfile.mkdtemp(prefix="veritable-")
-    spark.conf.set(CHECKPOINT_DIR, local)
-    return local
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="veritable-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
