@@ -56,13 +56,17 @@ def test_initcap_counts_digits_as_word_parts(spark):
 
 @hypothesis_settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text("abzABZ019 -'\t_.", max_size=12), min_size=20, max_size=60))
-def test_canonical_predicates_equal_their_definition(spark, values):
+@given(st.lists(st.text("abzABZ019éÉñ -'\t_.", max_size=12), min_size=20, max_size=60))
+def test_casing_agrees_with_python_on_any_text(spark, values):
     x = F.col("x")
-    wrong = column(spark, values).filter(
-        (text.differs_from_title(x) != (x != text.title(text.strip(x))))
-        | (text.differs_from_initcap(x) != (x != text.initcap(F.trim(x)))))
-    assert wrong.collect() == []
+    rows = column(spark, values).select(
+        "x", text.title(text.strip(x)), text.differs_from_title(x),
+        text.initcap(F.trim(x)), text.differs_from_initcap(x)).collect()
+    for value, titled, not_titled, capitalized, not_capitalized in rows:
+        expected = value.strip().title()
+        assert (titled, not_titled) == (expected, value != expected)
+        expected = python_initcap(value.strip(" "))
+        assert (capitalized, not_capitalized) == (expected, value != expected)
 
 
 def test_prefix(spark):

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 
+from veritable.__main__ import main
 from veritable.plans import phases
 from veritable.sources import raw
 from veritable.sources.schemas import ENTITIES
@@ -45,6 +46,7 @@ def data_dir(tmp_path):
 @pytest.fixture
 def store(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
+    phases.prepare(store)
     yield store
     for layer in ("raw", "staging", "governance"):
         spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
@@ -86,6 +88,15 @@ def test_all_phases(spark, data_dir, store, tmp_path):
     assert cells["violations_log"].columns == ["table_name", "dimension", "record_id"]
 
 
+def test_phases_from_the_command_line(spark, data_dir, store, tmp_path, capsys):
+    """Each phase finds the tables of the one before by folder."""
+    for phase in ("load", "profile", "assess", "standardize"):
+        main([phase, "--data", data_dir, "--root", store.root, "--csv"])
+    assert "purchase_orders" in capsys.readouterr().out
+    assert (tmp_path / "store/reports/staging_products_final").is_dir()
+    assert spark.sql("SELECT count(*) FROM governance.quality_scorecard").first()[0] > 0
+
+
 def test_append_doubles_unless_reset(spark, data_dir, store):
     paths = raw.default_paths(data_dir)
     phases.load(spark, store, paths)

@@ -23,6 +23,14 @@ def test_column_profile(spark):
     assert tuple(rows["v"]) == ("t", "v", 5, 1, 20.0, 3, 2)
 
 
+def test_typed_tables_can_be_profiled_too(spark):
+    df = spark.sql("SELECT 1 AS a, DATE'2025-01-01' AS b UNION ALL SELECT NULL, DATE'2025-01-01'")
+    rows = {r["column"]: tuple(r)[2:] for r in profile.column_profile({"t": df}).collect()}
+    assert rows == {"a": (2, 1, 50.0, 1, 0), "b": (2, 0, 0.0, 1, 0)}
+    other = profile.Reference("t", "a", "t", "a")
+    assert profile.reference_checks({"t": df}, [other]).first()[1] == 0
+
+
 def test_null_percent_rounds_halves_to_even(spark):
     df = spark.range(8000).select(F.when(F.col("id") >= 262, "x").alias("v"))
     assert profile.column_profile({"t": df}).first()["null_pct"] == 3.28

@@ -10,18 +10,19 @@ from veritable.sources.raw import default_paths
 from veritable.sources.tables import Store
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="veritable")
     parser.add_argument("phase", choices=["load", "profile", "assess", "standardize", "all"])
     parser.add_argument("--data", required=True, help="folder of the erp_*.csv files")
     parser.add_argument("--root", required=True, help="folder of the tables, shared by executors")
     parser.add_argument("--csv", action="store_true", help="also write results as CSV reports")
     parser.add_argument("--ruleset", choices=["sql", "cell"], default="sql")
-    args = parser.parse_args()
+    args = parser.parse_args(argv)
 
     spark = build_session("veritable")
     store = Store(spark, args.root)
     reports = f"{args.root.rstrip('/')}/reports" if args.csv else None
+    phases.prepare(store)
     wanted = ["load", "profile", "assess", "standardize"] if args.phase == "all" else [args.phase]
     if "load" in wanted:
         phases.load(spark, store, default_paths(args.data)).show(truncate=False)

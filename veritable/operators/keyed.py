@@ -49,16 +49,16 @@ def duplicated(df: DataFrame, keys: Sequence[str], record_id: str) -> DataFrame:
 def surplus(df: DataFrame, keys: Sequence[str], record_id: str, order: Column) -> DataFrame:
     """Ids of all rows but the first of each key; the first has the least (order, id).
 
-    Equal rows are counted and the first's count is lowered by one, so that no ranking over a
-    whole group is needed and copies of the first row are kept.
+    Ids of all members are counted, less one for each key that the id comes first in. So no
+    ranking over a whole group is needed, and copies of a first row are kept.
     """
     position = F.struct(order.alias("o"), F.col(record_id).alias("id"))
-    rows = df.select(record_id, *keys, position.alias("position"))
-    groups = group_sizes(rows, keys, F.min("position").alias("first")).filter("n > 1").drop("n")
-    members = attach(rows, groups, keys, "inner")
-    is_first = (F.col("position") == F.col("first")).cast("long")
-    copies = group_sizes(members.withColumn("is_first", is_first), [*keys, record_id, "is_first"])
-    later = copies.select(record_id, (F.col("n") - F.col("is_first")).alias("n"))
+    groups = group_sizes(df, keys, F.min(position).alias("first")).filter("n > 1")
+    members = attach(df.select(record_id, *keys), groups.select(*keys), keys, "left_semi")
+    firsts = groups.select(F.col("first.id").alias(record_id))
+    signed = members.select(record_id, F.lit(1).alias("n")).unionByName(
+        firsts.withColumn("n", F.lit(-1)))
+    later = signed.groupBy(record_id).agg(F.sum("n").alias("n"))
     once = later.filter("n = 1").select(record_id)
     return once.unionByName(repeat_rows(later.filter("n > 1")))
 
@@ -87,7 +87,8 @@ def missing_keys(
     Both sides are grouped by what they are joined on, so the join adds no shuffle.
     """
     def parts(key: Column) -> list[Column]:
-        return [F.coalesce(key, F.lit("")).alias("key"), key.isNull().alias("no_key")]
+        text = F.coalesce(key.cast("string"), F.lit(""))
+        return [text.alias("key"), key.isNull().alias("no_key")]
 
     on = ["key", "no_key"]
     keys = group_sizes(child.select(parts(child_key)), on)

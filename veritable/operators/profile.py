@@ -53,10 +53,12 @@ def column_profile(frames: Frames) -> DataFrame:
     All columns become (table, column, value) and are grouped once: repeated values collapse
     before the shuffle, and a table is read once however many columns it has.
     """
-    cells = union_all([
-        df.unpivot([], df.columns, "column", "value").withColumn("table", F.lit(name))
-        for name, df in frames.items()
-    ])
+    def cells_of(name: str, df: DataFrame) -> DataFrame:
+        as_text = df.select(*[F.col(c).cast("string") for c in df.columns])
+        cells = as_text.unpivot([], df.columns, "column", "value")
+        return cells.select(F.lit(name).alias("table"), "column", "value")
+
+    cells = union_all([cells_of(name, df) for name, df in frames.items()])
     values = keyed.group_sizes(cells, ["table", "column", "value"])
     n, value = F.col("n"), F.col("value")
     profile = values.groupBy("table", "column").agg(

@@ -11,22 +11,28 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veritable.functions.dates import register_sql_functions
 from veritable.operators import evaluate, profile, report, rules, score, standardize
 from veritable.sources import raw
 from veritable.sources.schemas import ENTITIES
 from veritable.sources.tables import Store, write_csv
 
 
+def prepare(store: Store) -> None:
+    """Databases for the layers, and the SQL functions of this session."""
+    store.create_layers()
+    register_sql_functions(store.spark)
+
+
 def load(
     spark: SparkSession, store: Store, paths: Mapping[str, str], mode: str = "overwrite"
 ) -> DataFrame:
     """CSV files → raw tables. Returns rows per table."""
-    store.create_layers()
     return store.write_raw(raw.read_all(spark, paths), mode)
 
 
 def raw_frames(store: Store) -> dict[str, DataFrame]:
-    return {name: store.read("raw", name) for name in ENTITIES if store.exists("raw", name)}
+    return {name: store.read("raw", name, e.raw_schema) for name, e in ENTITIES.items()}
 
 
 def _write_reports(tables: Mapping[str, DataFrame], folder: str | None) -> None:

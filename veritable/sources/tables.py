@@ -11,8 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from veritable.functions.dates import register_sql_functions
 from veritable.operators.evaluate import union_all
 from veritable.sources.schemas import ENTITIES
 
@@ -29,10 +29,8 @@ class Store:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
     def create_layers(self) -> None:
-        """Create the three databases and publish the SQL functions."""
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        register_sql_functions(self.spark)
 
     def write(
         self, df: DataFrame, layer: str, name: str,
@@ -43,15 +41,14 @@ class Store:
             writer = writer.partitionBy(*partition_by)
         if self.register:
             writer.option("path", self.path(layer, name)).saveAsTable(f"{layer}.{name}")
-            return self.read(layer, name)
-        writer.parquet(self.path(layer, name))
-        return self.spark.read.schema(df.schema).parquet(self.path(layer, name))
-
-    def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.table(f"{layer}.{name}")
-
-    def exists(self, layer: str, name: str) -> bool:
-        return self.spark.catalog.tableExists(f"{layer}.{name}")
+        else:
+            writer.parquet(self.path(layer, name))
+        return self.read(layer, name, df.schema)
+
+    def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """Read by folder, so that a later job needs no catalog that outlives a session."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(layer, name))
 
     def reset_raw(self) -> None:
         """Empty every raw table, keeping its schema."""
