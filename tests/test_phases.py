@@ -126,6 +126,16 @@ def test_report_round_trip(spark, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
 
 
+def test_lines_of_another_length(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(
+        "supplier_id,name,lead_time_days,reliability_score\na,b\nc,d,1,2\n")
+    schema = ENTITIES["suppliers"].raw_schema
+    rows = raw.read_csv(spark, str(tmp_path / "s.csv"), schema).collect()
+    assert [tuple(r) for r in rows] == [("a", "b", None, None), ("c", "d", "1", "2")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        raw.read_csv(spark, str(tmp_path / "s.csv"), schema, mode="FAILFAST").collect()
+
+
 def test_wrong_header_is_refused(spark, tmp_path):
     (tmp_path / "s.csv").write_text("supplier_id,name,reliability_score,lead_time_days\na,b,c,d\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -25,3 +25,11 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 3
+
+
+def test_scores_add_up(spark):
+    """Scorecard counts sum to the log, and shares to one hundred."""
+    rows = QUERIES["scorecard"](spark, SF_DIR).collect()
+    assert sum(r.violation_count for r in rows) == QUERIES["violations_log"](spark, SF_DIR).count()
+    shares = [r.pct_of_violations for r in QUERIES["composition"](spark, SF_DIR).collect()]
+    assert abs(sum(shares) - 100) < 0.05

@@ -63,6 +63,17 @@ def test_duplicates_split_the_hot_key(hot_products, small_splits):
     assert "skew=true" in final_plan(ids)
 
 
+def test_the_log_keeps_the_split_when_it_is_stored(spark, hot_products, small_splits):
+    """The rebalance before the write neither undoes the split nor makes one task per folder."""
+    frames = {"products": hot_products, "suppliers": spark.createDataFrame(
+        [("SUP1",)], "supplier_id string")}
+    log = evaluate.violations_log(frames, rules.select_rules(rules.sql_rules(), "products"))
+    stored = log.hint("rebalance", "table_name", "dimension")
+    plan = final_plan(stored)
+    assert plan.count("skew=true") == 2
+    assert stored.rdd.getNumPartitions() > 8
+
+
 def test_surplus_splits_the_hot_key(hot_products, small_splits):
     ids = evaluate.rule_violations(
         {"products": hot_products}, cell_rule("surplus_product_supplier"))

@@ -28,8 +28,9 @@ def main(argv: list[str] | None = None) -> None:
         phases.load(spark, store, default_paths(args.data)).show(truncate=False)
     if "profile" in wanted:
         tables = phases.run_profile(store, reports)
-        tables["profiling_duplicate_checks"].show(truncate=False)
-        tables["profiling_fk_checks"].show(truncate=False)
+        for name in ("null_offenders", "duplicate_checks", "fk_checks", "prefix_distribution",
+                     "date_format_counts"):
+            tables[f"profiling_{name}"].show(truncate=False)
     if "assess" in wanted:
         tables = phases.run_assess(store, reports, args.ruleset)
         tables["quality_scorecard"].show(truncate=False)

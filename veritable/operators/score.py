@@ -85,9 +85,13 @@ def cell_domain_scorecard(card: DataFrame) -> DataFrame:
 
 
 def history_snapshot(card: DataFrame, measured_at: dt.datetime) -> DataFrame:
-    """A scorecard as rows of the history table. The time is an argument, so runs repeat."""
+    """A scorecard as rows of the history table. The time is an argument, so runs repeat.
+
+    A time without a zone is in the session's zone.
+    """
+    when = F.lit(measured_at.isoformat(sep=" ")).cast("timestamp")
     return card.select(
-        F.lit(measured_at).alias("measured_at"), "table_name", "dimension",
+        when.alias("measured_at"), "table_name", "dimension",
         "violation_count", "row_count", "quality_score",
     )
 

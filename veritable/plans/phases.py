@@ -51,8 +51,11 @@ def run_profile(store: Store, reports: str | None = None) -> dict[str, DataFrame
         "profiling_fk_checks": profile.reference_checks(frames),
         "profiling_prefix_distribution": profile.prefix_distribution(frames["products"]),
         "profiling_date_format_violations": profile.date_violations(frames),
+        "profiling_date_format_counts": profile.date_violation_counts(frames),
     }
     written = {n: store.write(df, "governance", n) for n, df in tables.items()}
+    written["profiling_null_offenders"] = profile.null_offenders(
+        written["profiling_column_summary"])
     _write_reports(written, reports)
     return written
 

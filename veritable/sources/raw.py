@@ -17,12 +17,14 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], schema: T.StructType,
+    multi_line: bool = False, mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Scan CSV files that have a header line; quotes inside a value are doubled.
 
     The header must name the schema's columns, else the scan fails. Files stay splittable
-    unless ``multi_line`` says that quoted values hold line breaks.
+    unless ``multi_line`` says that quoted values hold line breaks. A short line is filled with
+    NULLs; ``mode="FAILFAST"`` refuses lines with another number of cells.
     """
     raw = (
         spark.read.schema(schema)
@@ -30,6 +32,7 @@ def read_csv(
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", mode)
         .csv(path)
     )
     return normalize_nulls(raw)
@@ -40,10 +43,11 @@ def default_paths(data_dir: str) -> dict[str, str]:
 
 
 def read_all(
-    spark: SparkSession, paths: Mapping[str, str | list[str]], multi_line: bool = False
+    spark: SparkSession, paths: Mapping[str, str | list[str]],
+    multi_line: bool = False, mode: str = "PERMISSIVE",
 ) -> dict[str, DataFrame]:
     """Every registered entity found in ``paths`` as a frame of text columns."""
     return {
-        name: read_csv(spark, path, ENTITIES[name].raw_schema, multi_line)
+        name: read_csv(spark, path, ENTITIES[name].raw_schema, multi_line, mode)
         for name, path in paths.items()
     }
