@@ -48,6 +48,7 @@ def store(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     phases.prepare(store)
     yield store
+    spark.sql("DROP FUNCTION IF EXISTS governance.parse_flexible_date")
     for layer in ("raw", "staging", "governance"):
         spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
 
@@ -68,6 +69,11 @@ def test_all_phases(spark, data_dir, store, tmp_path):
     assert {r.rule_name for r in log.filter("table_name = 'products'").collect()} == {
         "missing_required_field", "orphan_supplier_id", "non_canonical_category",
         "non_standard_sku_prefix"}
+    assert spark.sql("SELECT record_id, detail FROM governance.v_validity_orphan_supplier "
+                     "UNION ALL SELECT record_id, detail FROM v_validity_orphan_supplier"
+                     ).collect() == [("SKU2", "supplier_id S9 not found in suppliers")] * 2
+    assert spark.sql("SELECT governance.parse_flexible_date('08/10/2025')").first()[0] == dt.date(
+        2025, 8, 10)
     card = assessed["quality_scorecard"]
     history = store.read("governance", "quality_scorecard_history")
     assert history.count() == 2 * card.count()
@@ -86,6 +92,7 @@ def test_all_phases(spark, data_dir, store, tmp_path):
 
     cells = phases.run_assess(store, reports, ruleset="cell")
     assert cells["violations_log"].columns == ["table_name", "dimension", "record_id"]
+    assert store.read("governance", "violations_log").count() == log.count(), "left as it was"
 
 
 def test_phases_from_the_command_line(spark, data_dir, store, tmp_path, capsys):

@@ -69,7 +69,7 @@ def test_prefixes_most_frequent_first(spark):
         ("A", 2), (None, 1), ("B", 1)]
 
 
-# The published results of the reference data, as counts by rule.
+# Published results, as counts by rule.
 PUBLISHED = [
     ("products", "completeness", "r1", 21, 200), ("products", "uniqueness", "r3", 10, 200),
     ("products", "validity", "r4", 3, 200), ("products", "validity", "r5", 0, 200),

@@ -77,15 +77,18 @@ def flexible_date(c: Column) -> Column:
     return parse_first(c, FLEXIBLE_FORMATS)
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """Publish ``parse_flexible_date(text)`` for SQL users, as an inlined SQL function."""
+def register_sql_functions(spark: SparkSession, database: str | None = None) -> None:
+    """Publish ``parse_flexible_date(text)`` for SQL users, as an inlined SQL function.
+
+    It belongs to the session, or to ``database`` if one is given.
+    """
     branches = ", ".join(
         "CASE WHEN rlike(raw_val, r'{1}') THEN try_to_date(raw_val, r\"{0}\") END".format(
             *_translate(fmt)
         )
         for fmt in FLEXIBLE_FORMATS
     )
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION parse_flexible_date(raw_val STRING) "
-        f"RETURNS DATE RETURN coalesce({branches})"
-    )
+    target = (f"FUNCTION {database}.parse_flexible_date" if database
+              else "TEMPORARY FUNCTION parse_flexible_date")
+    spark.sql(f"CREATE OR REPLACE {target}(raw_val STRING) "
+              f"RETURNS DATE RETURN coalesce({branches})")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritable.operators import keyed
-from veritable.operators.rules import VIEW_NAMES, ForeignKeyRule, RowRule, Rule, UniqueRule
+from veritable.operators.rules import ForeignKeyRule, RowRule, Rule, UniqueRule, view_name
 
 Frames = Mapping[str, DataFrame]
 
@@ -101,10 +101,10 @@ def cell_log(log: DataFrame) -> DataFrame:
 
 
 def create_rule_views(frames: Frames, rules: Sequence[Rule]) -> list[str]:
-    """One temporary view per rule, so that SQL users can query a rule by name."""
+    """One temporary view per rule, which evaluates the rule whenever it is queried."""
     names = []
     for rule in rules:
-        name = VIEW_NAMES.get((rule.table, rule.name), f"v_{rule.dimension}_{rule.name}")
+        name = view_name(rule)
         rule_violations(frames, rule).createOrReplaceTempView(name)
         names.append(name)
     return names

@@ -209,6 +209,11 @@ VIEW_NAMES = {
     ("inventory_transactions", "sign_mismatch"): "v_accuracy_transaction_sign",
 }
 
+
+def view_name(rule: Rule) -> str:
+    return VIEW_NAMES.get((rule.table, rule.name), f"v_{rule.dimension}_{rule.table}_{rule.name}")
+
+
 RULESETS = {"sql": sql_rules, "cell": cell_rules}
 
 

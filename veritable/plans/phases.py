@@ -19,9 +19,10 @@ from veritable.sources.tables import Store, write_csv
 
 
 def prepare(store: Store) -> None:
-    """Databases for the layers, and the SQL functions of this session."""
+    """Databases for the layers, and the SQL functions."""
     store.create_layers()
     register_sql_functions(store.spark)
+    register_sql_functions(store.spark, "governance")
 
 
 def load(
@@ -64,23 +65,28 @@ def run_assess(
     store: Store, reports: str | None = None, ruleset: str = "sql",
     measured_at: dt.datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Raw tables → violations log → scorecards; the ``sql`` rules also add to the history."""
+    """Raw tables → violations log → scorecards.
+
+    The ``sql`` rules also get their views and add a snapshot to the score history. Tables of
+    another rule set carry its name, so that neither run replaces the other's results.
+    """
     frames, exact = raw_frames(store), ruleset == "sql"
     catalog = rules.RULESETS[ruleset]()
-    if exact:
-        evaluate.create_rule_views(frames, catalog)
-    log = store.write_log(evaluate.violations_log(frames, catalog))
+    suffix = "" if exact else f"_{ruleset}"
+    log = store.write_log(evaluate.violations_log(frames, catalog), f"violations_log{suffix}")
     rows = store.write(score.row_counts(frames), "governance", "table_row_counts")
     card = store.write(
-        score.scorecard_from_log(log, rows, exact), "governance", "quality_scorecard")
+        score.scorecard_from_log(log, rows, exact), "governance", f"quality_scorecard{suffix}")
     rollup = score.domain_scorecard if exact else score.cell_domain_scorecard
-    domains = store.write(rollup(card), "governance", "quality_scorecard_domain")
+    domains = store.write(rollup(card), "governance", f"quality_scorecard_domain{suffix}")
     if exact:
+        evaluate.create_rule_views(frames, catalog)
+        store.create_rule_views(catalog)
         snapshot = score.history_snapshot(card, measured_at or dt.datetime.now())
         store.append_history(snapshot)
     out = {"violations_log": log if exact else evaluate.cell_log(log),
            "quality_scorecard": score.ordered(card), "quality_scorecard_domain": domains}
-    _write_reports(out, reports)
+    _write_reports({f"{name}{suffix}": df for name, df in out.items()}, reports)
     return {**out, "table_row_counts": rows}
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritable.operators.evaluate import union_all
+from veritable.operators.rules import Rule, view_name
 from veritable.sources.schemas import ENTITIES
 
 LAYERS = ("raw", "staging", "governance")
@@ -68,16 +69,25 @@ class Store:
             for name, df in stored.items()
         ])
 
-    def write_log(self, log: DataFrame) -> DataFrame:
+    def write_log(self, log: DataFrame, name: str = "violations_log") -> DataFrame:
         """Store the violations log, one folder per table and dimension.
 
         The rebalance brings the rows of a folder together, so that not every task writes to
         every folder, and splits a folder that holds most rows over several tasks.
         """
         folders = ("table_name", "dimension")
-        return self.write(log.hint("rebalance", *folders), "governance", "violations_log",
+        return self.write(log.hint("rebalance", *folders), "governance", name,
                           partition_by=folders)
 
+    def create_rule_views(self, rules: Sequence[Rule]) -> None:
+        """Stored views ``governance.v_...``: each rule's part of the stored log."""
+        for rule in rules:
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW governance.{view_name(rule)} AS "
+                "SELECT record_id, table_name, dimension, rule_name, detail "
+                f"FROM governance.violations_log WHERE table_name = '{rule.table}' "
+                f"AND dimension = '{rule.dimension}' AND rule_name = '{rule.name}'")
+
     def append_history(self, snapshot: DataFrame) -> DataFrame:
         """Add a scorecard snapshot: one row per table and dimension, hence one file."""
         return self.write(snapshot.coalesce(1), "governance", "quality_scorecard_history",
