@@ -104,6 +104,20 @@ def test_phases_from_the_command_line(spark, data_dir, store, tmp_path, capsys):
     assert spark.sql("SELECT count(*) FROM governance.quality_scorecard").first()[0] > 0
 
 
+def test_history_outlives_the_catalog(spark, data_dir, store):
+    """A job whose catalog does not know the history still appends to it."""
+    phases.load(spark, store, raw.default_paths(data_dir))
+    first = phases.run_assess(store, measured_at=dt.datetime(2025, 1, 1))
+    scores = first["quality_scorecard"].collect()
+    spark.sql("DROP TABLE governance.quality_scorecard_history")
+    phases.run_assess(store, measured_at=dt.datetime(2025, 2, 1))
+    history = spark.table("governance.quality_scorecard_history")
+    assert history.count() == 2 * len(scores)
+    assert history.select("measured_at").distinct().count() == 2
+    assert spark.table("governance.violations_log").count() == sum(
+        r.violation_count for r in scores)
+
+
 def test_append_doubles_unless_reset(spark, data_dir, store):
     paths = raw.default_paths(data_dir)
     phases.load(spark, store, paths)

@@ -40,12 +40,23 @@ class Store:
         writer = df.write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        writer.parquet(self.path(layer, name))
         if self.register:
-            writer.option("path", self.path(layer, name)).saveAsTable(f"{layer}.{name}")
-        else:
-            writer.parquet(self.path(layer, name))
+            self._register(layer, name, bool(partition_by))
         return self.read(layer, name, df.schema)
 
+    def _register(self, layer: str, name: str, partitioned: bool) -> None:
+        """Point the catalog at the folder. Dropping such a table leaves its files alone.
+
+        The files are written first and by path: saving through a catalog that does not know
+        the table would replace what an earlier job appended.
+        """
+        table = f"{layer}.{name}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(layer, name)}'")
+        if partitioned:
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Read by folder, so that a later job needs no catalog that outlives a session."""
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
