@@ -50,27 +50,34 @@ REFERENCES = (
 def column_profile(frames: Frames) -> DataFrame:
     """Rows, NULLs, distinct values and untrimmed values of every column of every table.
 
-    All columns become (table, column, value) and are grouped once: repeated values collapse
+    All cells become (column number, value) and are grouped once: repeated values collapse
     before the shuffle, and a table is read once however many columns it has.
     """
-    def cells_of(name: str, df: DataFrame) -> DataFrame:
-        as_text = df.select(*[F.col(c).cast("string") for c in df.columns])
-        cells = as_text.unpivot([], df.columns, "column", "value")
-        return cells.select(F.lit(name).alias("table"), "column", "value")
+    names = [(table, column) for table, df in frames.items() for column in df.columns]
 
-    cells = union_all([cells_of(name, df) for name, df in frames.items()])
-    values = keyed.group_sizes(cells, ["table", "column", "value"])
+    def cells_of(table: str, df: DataFrame) -> DataFrame:
+        return df.select(F.inline(F.array(*[
+            F.struct(F.lit(names.index((table, c))).alias("number"),
+                     F.col(c).cast("string").alias("value"))
+            for c in df.columns
+        ])))
+
+    cells = union_all([cells_of(table, df) for table, df in frames.items()])
     n, value = F.col("n"), F.col("value")
-    profile = values.groupBy("table", "column").agg(
+    profile = keyed.group_sizes(cells, ["number", "value"]).groupBy("number").agg(
         F.sum(n).alias("row_count"),
         F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
         F.count(value).alias("distinct_count"),
         F.coalesce(F.sum(F.when(value != text.strip(value), n)), F.lit(0))
         .alias("whitespace_dirty_count"),
     )
+    labels = F.array(*[
+        F.struct(F.lit(table).alias("table"), F.lit(column).alias("column"))
+        for table, column in names
+    ])
     percent = 100.0 * F.col("null_count") / F.col("row_count")
-    return profile.select(
-        "table", "column", "row_count", "null_count",
+    return profile.withColumn("label", F.get(labels, F.col("number"))).select(
+        "label.table", "label.column", "row_count", "null_count",
         round_half_even(percent, 2).alias("null_pct"),
         "distinct_count", "whitespace_dirty_count",
     )
