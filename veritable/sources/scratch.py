@@ -12,12 +12,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local run without one gets a temporary folder."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="veritable-"))
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            if not context.master.startswith("local"):
+                raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="veritable-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
