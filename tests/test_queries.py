@@ -8,14 +8,18 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import duckdb_rows, spark_rows
+from veritable.plans import oracles
+from veritable.plans import queries as quality
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = quality.QUERIES
+ORACLES = oracles.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
