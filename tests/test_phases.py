@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 
 from veritable.__main__ import main
+from veritable.operators import score
 from veritable.plans import phases
 from veritable.sources import raw
 from veritable.sources.schemas import ENTITIES
@@ -157,6 +159,40 @@ def test_lines_of_another_length(spark, tmp_path):
         raw.read_csv(spark, str(tmp_path / "s.csv"), schema, mode="FAILFAST").collect()
 
 
+@pytest.mark.parametrize("line", ["S2,b,1,2,EXTRA", 'S1,"Ac\nme",3,9', 'S1,"open'])
+def test_lines_that_would_lose_cells_are_refused(spark, tmp_path, line):
+    (tmp_path / "s.csv").write_text(
+        f"supplier_id,name,lead_time_days,reliability_score\n{line}\nc,d,1,2\n")
+    schema = ENTITIES["suppliers"].raw_schema
+    for use in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("name").collect()):
+        with pytest.raises(Exception, match="malformed line"):
+            use(raw.read_csv(spark, str(tmp_path / "s.csv"), schema))
+
+
+def test_quoted_line_breaks(spark, tmp_path, store):
+    for name, lines in CSV.items():
+        (tmp_path / f"erp_{name}.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "erp_suppliers.csv").write_text(
+        'supplier_id,name,lead_time_days,reliability_score\nS1,"Ac\nme",3,9\nS2,b\n')
+    phases.load(spark, store, raw.default_paths(str(tmp_path)), multi_line=True)
+    rows = sorted(tuple(r) for r in store.read("raw", "suppliers").collect())
+    assert rows == [("S1", "Ac\nme", "3", "9"), ("S2", "b", None, None)]
+
+
+def test_default_time_is_the_same_in_any_zone(spark, monkeypatch):
+    card = spark.createDataFrame([("t", "d", 1, 2, 50.0)], "table_name string, dimension string, "
+                                 "violation_count long, row_count long, quality_score double")
+    seen = []
+    for zone in ("America/New_York", "Asia/Tokyo"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        snapshot = score.history_snapshot(card, phases.now())
+        seen.append(snapshot.selectExpr("unix_timestamp(measured_at) AS t").first().t)
+    monkeypatch.delenv("TZ")
+    time.tzset()
+    assert 0 <= seen[1] - seen[0] < 60 and abs(time.time() - seen[1]) < 60
+
+
 def test_wrong_header_is_refused(spark, tmp_path):
     (tmp_path / "s.csv").write_text("supplier_id,name,reliability_score,lead_time_days\na,b,c,d\n")
     with pytest.raises(Exception, match="(?i)header"):

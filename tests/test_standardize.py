@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -96,5 +97,22 @@ def test_cleaned_products_break_no_format_rule(spark):
 def test_lost_casts(spark):
     df = spark.createDataFrame([("1", "n", "c", "12x", "s"), ("2", "n", "c", "1.5", "s")], SCHEMA)
     assert standardize.lost_casts(df, ENTITIES["products"]).collect() == [("price", 1)]
-    typed = standardize.to_staging(df, ENTITIES["products"])
-    assert dict(typed.dtypes)["price"] == "decimal(18,4)"
+
+
+def test_wide_and_fine_numbers(spark):
+    """What fits is kept to the last digit; what does not is counted, rounding included."""
+    kept = ["123456789012345.5", "0.00004", "1.23456", "-7", "+1.50", " 2. ", ".5", "1e3", "0012.10000000000000"]
+    lost = ["0.12345678901", "1" * 29, "1e-11", "x"]
+    df = spark.createDataFrame([(str(i), "n", "c", p, "s") for i, p in enumerate(kept + lost)], SCHEMA)
+    entity = ENTITIES["products"]
+    assert standardize.lost_casts(df, entity).collect() == [("price", len(lost))]
+    typed = {r.sku: r.price for r in standardize.to_staging(df, entity).collect()}
+    assert [typed[str(i)] for i in range(len(kept))] == [Decimal(p.strip()) for p in kept]
+
+
+def test_lost_casts_stop_the_run(spark):
+    report = spark.createDataFrame([("products", "price", 2), ("products", "x", 0)],
+                                   "table_name string, column string, lost long")
+    with pytest.raises(ValueError, match="products.price: 2"):
+        standardize.assert_no_lost_casts(report)
+    standardize.assert_no_lost_casts(report.where("lost = 0"))

@@ -17,6 +17,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the tables, shared by executors")
     parser.add_argument("--csv", action="store_true", help="also write results as CSV reports")
     parser.add_argument("--ruleset", choices=["sql", "cell"], default="sql")
+    parser.add_argument("--append", action="store_true", help="add to the raw tables")
+    parser.add_argument("--multi-line", action="store_true", help="quoted cells hold line breaks")
+    parser.add_argument("--strict", action="store_true", help="refuse lines of another length")
     args = parser.parse_args(argv)
 
     spark = build_session("veritable")
@@ -25,7 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     phases.prepare(store)
     wanted = ["load", "profile", "assess", "standardize"] if args.phase == "all" else [args.phase]
     if "load" in wanted:
-        phases.load(spark, store, default_paths(args.data)).show(truncate=False)
+        phases.load(
+            spark, store, default_paths(args.data), "append" if args.append else "overwrite",
+            args.multi_line, "FAILFAST" if args.strict else "PERMISSIVE").show(truncate=False)
     if "profile" in wanted:
         tables = phases.run_profile(store, reports)
         for name in ("null_offenders", "duplicate_checks", "fk_checks", "prefix_distribution",

@@ -46,7 +46,8 @@ def _row_violations(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
         )
         for r in rules
     ]
-    return df.select(F.explode(F.array(*found)).alias("v")).filter("v is not null").select("v.*")
+    broken = F.filter(F.array(*found), lambda v: v.isNotNull())
+    return df.select(F.explode(broken).alias("v")).select("v.*")
 
 
 def _tagged(ids: DataFrame, rule: Rule, detail) -> DataFrame:

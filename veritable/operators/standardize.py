@@ -6,6 +6,7 @@ columns and ``to_staging`` gives them their types.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -246,9 +247,27 @@ def to_staging(df: DataFrame, entity: Entity) -> DataFrame:
 
 
 def lost_casts(df: DataFrame, entity: Entity) -> DataFrame:
-    """Per typed column, how many values ``to_staging`` would turn into NULL."""
-    lost = [
-        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c)
-        for c, t in entity.typed.items()
-    ]
+    """Per typed column, how many values ``to_staging`` would turn into NULL or round."""
+    lost = [F.count_if(_inexact(df, c, t)).alias(c) for c, t in entity.typed.items()]
     return df.agg(*lost).unpivot([], list(entity.typed), "column", "lost")
+
+
+def _inexact(df: DataFrame, column: str, typed: str) -> Column:
+    """Whether a value is lost or altered by its type. Plain digits are compared as text."""
+    value, cast = F.col(column), F.col(column).try_cast(typed)
+    altered = F.lit(False)
+    if typed.startswith("decimal"):
+        wide, scale = map(int, re.findall("[0-9]+", typed))
+        altered = cast.cast("double") != value.try_cast("double")
+        if dict(df.dtypes)[column] == "string":
+            plain = rf"^\s*[+-]?0*[0-9]{{0,{wide - scale}}}(?:\.[0-9]{{0,{scale}}}0*)?\s*$"
+            altered = ~value.rlike(plain) & (~F.lower(value).contains("e") | altered)
+    return value.isNotNull() & (cast.isNull() | altered)
+
+
+def assert_no_lost_casts(report: DataFrame) -> None:
+    """Stop when a staging column would lose or round a value."""
+    bad = report.where("lost > 0").limit(20).collect()
+    if bad:
+        found = ", ".join(f"{r.table_name}.{r.column}: {r.lost}" for r in bad)
+        raise ValueError(f"values that do not fit their staging types: {found}")

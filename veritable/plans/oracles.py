@@ -384,10 +384,9 @@ HISTORY_STEPS = {
 
 
 def _lost(table: str) -> str:
-    typed = {"decimal(18,4)": "DECIMAL(18,4)", "date": "DATE"}
     return " UNION ALL ".join(
         f"""SELECT '{table}' AS table_name, '{c}' AS "column",
-  count({c}) - count(TRY_CAST({c} AS {typed[t]})) AS lost FROM {table}"""
+  count({c}) - count(TRY_CAST({c} AS {"DATE" if t == "date" else "DOUBLE"})) AS lost FROM {table}"""
         for c, t in ENTITIES[table].typed.items())
 
 
@@ -404,7 +403,7 @@ def _staged(table: str) -> str:
         if kind == "date":
             columns.append(f"{flexible(c, *RECOVERY[table][c])} AS {c}")
         elif kind:
-            columns.append(f"CAST(TRY_CAST({c} AS DECIMAL(18,4)) AS DOUBLE) AS {c}")
+            columns.append(f"TRY_CAST({c} AS DOUBLE) AS {c}")
         else:
             columns.append(c)
     return f"SELECT {', '.join(columns)} FROM {table}"
@@ -487,7 +486,7 @@ def oracle_sql() -> dict[str, str]:
         "staging_products_audit": with_tables("SELECT * FROM audit", **PRODUCT_STEPS),
         "staging_products_final": with_tables("SELECT * FROM final", **PRODUCT_STEPS),
         "staging_typed_products": with_tables(
-            "SELECT * REPLACE (CAST(CAST(price AS DECIMAL(18,4)) AS DOUBLE) AS price) FROM final",
+            "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM final",
             **PRODUCT_STEPS),
         "staging_key_check": with_tables(
             "SELECT 'purchase_orders' AS table_name, purchase_order_id AS key, count(*) AS n "
@@ -496,6 +495,9 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'products', product_name || '|' || coalesce(supplier_id, '-'), "
             "count(*) FROM products GROUP BY product_name, supplier_id "
             "HAVING count(*) > 1 OR product_name IS NULL OR supplier_id IS NULL"),
+        "staging_wide_numbers": with_tables(
+            "SELECT sku, '123456789' || lpad(CAST(length(sku) AS VARCHAR), 6, '4') || '.12345' "
+            "|| '00000' AS price FROM products"),
         "staging_lost_casts": with_tables(f"{_lost('products')} UNION ALL {_lost('inventory')}"),
         "staging_typed_po": with_tables(_staged("purchase_orders")),
         "staging_typed_inventory": with_tables(_staged("inventory")),

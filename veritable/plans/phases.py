@@ -10,9 +10,11 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veritable.functions.dates import register_sql_functions
 from veritable.operators import evaluate, profile, report, rules, score, standardize
+from veritable.operators.evaluate import union_all
 from veritable.sources import raw
 from veritable.sources.schemas import ENTITIES
 from veritable.sources.tables import Store, write_csv
@@ -26,16 +28,22 @@ def prepare(store: Store) -> None:
 
 
 def load(
-    spark: SparkSession, store: Store, paths: Mapping[str, str], mode: str = "overwrite"
+    spark: SparkSession, store: Store, paths: Mapping[str, str], mode: str = "overwrite",
+    multi_line: bool = False, parse_mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """CSV files → raw tables. Returns rows per table."""
-    return store.write_raw(raw.read_all(spark, paths), mode)
+    """CSV files → raw tables. Returns rows per table. The scan's options are those of ``read_csv``."""
+    return store.write_raw(raw.read_all(spark, paths, multi_line, parse_mode), mode)
 
 
 def raw_frames(store: Store) -> dict[str, DataFrame]:
     return {name: store.read("raw", name, e.raw_schema) for name, e in ENTITIES.items()}
 
 
+def now() -> dt.datetime:
+    """The time of a run, which is the same for drivers in any zone."""
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def _write_reports(tables: Mapping[str, DataFrame], folder: str | None) -> None:
     """CSV copies of result tables, for those who want them."""
     if folder:
@@ -82,7 +90,7 @@ def run_assess(
     if exact:
         evaluate.create_rule_views(frames, catalog)
         store.create_rule_views(catalog)
-        snapshot = score.history_snapshot(card, measured_at or dt.datetime.now())
+        snapshot = score.history_snapshot(card, measured_at or now())
         store.append_history(snapshot)
     out = {"violations_log": log if exact else evaluate.cell_log(log),
            "quality_scorecard": score.ordered(card), "quality_scorecard_domain": domains}
@@ -93,7 +101,8 @@ def run_assess(
 def run_standardize(store: Store, reports: str | None = None) -> dict[str, DataFrame]:
     """Raw tables → audit tables with raw and clean columns → typed staging tables.
 
-    Key collisions and broken primary keys stop the run before a staging table is written.
+    Key collisions, broken primary keys and values that their staging types would lose or round
+    stop the run before a staging table is written; the lost casts are reported first.
     """
     frames = raw_frames(store)
     audit = {"products": standardize.standardize_products(frames["products"])}
@@ -107,7 +116,11 @@ def run_standardize(store: Store, reports: str | None = None) -> dict[str, DataF
         final[table] = standardize.final_dates(audit[table], table)
     for table in ("products", "purchase_orders"):
         standardize.assert_key(final[table], ENTITIES[table].key)
-    out = {}
+    lost = store.write(union_all([
+        standardize.lost_casts(df, ENTITIES[t]).select(F.lit(t).alias("table_name"), "column", "lost")
+        for t, df in final.items()]), "governance", "staging_lost_casts")
+    standardize.assert_no_lost_casts(lost)
+    out = {"staging_lost_casts": lost}
     for table, df in final.items():
         out[table] = store.write(
             standardize.to_staging(df, ENTITIES[table]), "staging", table)

@@ -175,6 +175,14 @@ def sku_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of("products").unionByName(of("inventory"))
 
 
+def staging_wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of fifteen digits and five places through the staging types."""
+    products = DirtyFrames(spark, sf_dir)["products"]
+    wide = F.concat(F.lit("123456789"), F.lpad(F.length("sku").cast("string"), 6, "4"), F.lit(".12345"))
+    typed = standardize.to_staging(products.withColumn("price", wide), ENTITIES["products"])
+    return typed.select("sku", F.col("price").cast("string").alias("price"))
+
+
 def staging_lost_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that raw text → staging types would lose if dates were not standardized first."""
     frames = DirtyFrames(spark, sf_dir)
@@ -310,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "staging_products_final": over_frames(
         lambda f: standardize.final_products(products_audit(f))),
     "staging_key_check": staging_key_check,
+    "staging_wide_numbers": staging_wide_numbers,
     "staging_lost_casts": staging_lost_casts,
     "staging_typed_products": staging_typed_products,
     "staging_typed_po": _staging("purchase_orders"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritable.functions.text import null_if_token
@@ -16,6 +17,20 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[null_if_token(c) for c in df.columns])
 
 
+_WHOLE_LINE = "_whole_line"
+
+
+def _accepted(schema: T.StructType):
+    """True, or an error that quotes the line. Spark keeps the text of lines of another length."""
+    line, first = F.col(_WHOLE_LINE), F.col(f"`{schema.names[0]}`")
+    extra = ", ".join(f"`{name}` string" for name in [*schema.names, "_extra"])
+    longer = F.from_csv(line, extra, {"escape": '"'})["_extra"].isNotNull()
+    open_quote = F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+    told = F.raise_error(F.concat_ws(" ", F.lit("malformed line of"), first, F.lit(":"), line))
+    return F.when(line.isNotNull() & (longer | open_quote), told.cast("boolean")).otherwise(
+        F.coalesce(first, F.lit("")).isNotNull())
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType,
     multi_line: bool = False, mode: str = "PERMISSIVE",
@@ -24,10 +39,15 @@ def read_csv(
 
     The header must name the schema's columns, else the scan fails. Files stay splittable
     unless ``multi_line`` says that quoted values hold line breaks. A short line is filled with
-    NULLs; ``mode="FAILFAST"`` refuses lines with another number of cells.
+    NULLs; ``mode="FAILFAST"`` refuses lines with another number of cells. A line with too many
+    cells, or with a quote that the line does not close, is refused in any mode, since parts of it
+    would be lost.
     """
+    whole = T.StructType([*schema.fields, T.StructField(_WHOLE_LINE, T.StringType())])
     raw = (
-        spark.read.schema(schema)
+        spark.read.schema(whole if mode == "PERMISSIVE" else schema)
+        .option("columnNameOfCorruptRecord", _WHOLE_LINE)
+        .option("columnPruning", False)  # else a line is as long as the columns that are asked for
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
@@ -35,6 +55,8 @@ def read_csv(
         .option("mode", mode)
         .csv(path)
     )
+    if mode == "PERMISSIVE":
+        raw = raw.where(_accepted(schema)).select(schema.names)
     return normalize_nulls(raw)
 
 

@@ -6,7 +6,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-QUANTITY = "decimal(18,4)"
+#: Quantities and prices: the widest decimal, with room for ten places. ``lost_casts`` finds what
+#: does not fit exactly; another scale per column goes into ``Entity.typed``.
+QUANTITY = "decimal(38,10)"
 
 
 @dataclass(frozen=True)
