@@ -41,9 +41,12 @@ SHAPES = ("https://{}.example/", "http://www.{}.example/en/1", "https://my{}.exa
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """``url, blocked``: the labelled table that is used if none is given."""
-    rows = [(shape.replace("{}", word), blocked) for blocked, words in ((1, UNWANTED), (0, WANTED))
-            for word in words for shape in SHAPES]
-    return spark.createDataFrame(rows, "url string, blocked int")
+    words = F.array(*[F.struct(F.lit(word).alias("word"), F.lit(blocked).alias("blocked"))
+                      for blocked, group in ((1, UNWANTED), (0, WANTED)) for word in group])
+    shapes = F.array(*map(F.lit, SHAPES))
+    return spark.range(1).select(F.explode(words).alias("w")).select(
+        "w", F.explode(shapes).alias("shape")).select(
+        F.replace("shape", F.lit("{}"), F.col("w.word")).alias("url"), "w.blocked")
 
 
 def host(url: Column) -> Column:
