@@ -92,6 +92,15 @@ def test_all_phases(spark, data_dir, store, tmp_path):
     assert issues["malformed last_updated"] == (2, 1)
     assert issues["null category"] == (1, 1)
 
+    made = phases.run_report(store, reports)
+    assert set(made) == {f"report_{n}" for n in (
+        "composition", "prevalence", "heatmap", "trend", "review_queue", "headline")}
+    assert made["report_trend"].count() == history.count()
+    assert made["report_trend"].filter("previous_score is not null").count() == card.count()
+    assert made["report_headline"].first().total_violations == log.count()
+    assert {(r.record_id, r.reason) for r in made["report_review_queue"].collect()} == {
+        ("SKU2", "orphan_supplier_id")}
+
     cells = phases.run_assess(store, reports, ruleset="cell")
     assert cells["violations_log"].columns == ["table_name", "dimension", "record_id"]
     assert store.read("governance", "violations_log").count() == log.count(), "left as it was"
@@ -99,7 +108,7 @@ def test_all_phases(spark, data_dir, store, tmp_path):
 
 def test_phases_from_the_command_line(spark, data_dir, store, tmp_path, capsys):
     """Each phase finds the tables of the one before by folder."""
-    for phase in ("load", "profile", "assess", "standardize"):
+    for phase in ("load", "profile", "assess", "standardize", "report"):
         main([phase, "--data", data_dir, "--root", store.root, "--csv"])
     assert "purchase_orders" in capsys.readouterr().out
     assert (tmp_path / "store/reports/staging_products_final").is_dir()

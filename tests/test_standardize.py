@@ -54,7 +54,8 @@ def test_price_fill(spark):
     assert prices["6"] == (None, None)
 
 
-def test_medians_are_exact(spark):
+@pytest.mark.parametrize("ranked", [200, 100_000])
+def test_medians_are_exact(spark, ranked):
     """Heavy ties, continuous values, tiny groups, outliers: all equal numpy's median."""
     rng = np.random.default_rng(7)
     groups = {
@@ -66,7 +67,7 @@ def test_medians_are_exact(spark):
     rows = [(g, float(v)) for g, values in groups.items() for v in values]
     rows += [(None, 1.0), ("empty", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(16)
-    medians = {r.g: r["median"] for r in standardize.exact_medians(df, "g", "v").collect()}
+    medians = {r.g: r["median"] for r in standardize.exact_medians(df, "g", "v", ranked).collect()}
     assert medians == {g: float(np.median(v)) for g, v in groups.items()}
 
 

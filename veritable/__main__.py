@@ -1,4 +1,4 @@
-"""Run a phase: ``python -m veritable {load,profile,assess,standardize,all} --data D --root R``."""
+"""Run a phase: ``python -m veritable {load,profile,assess,standardize,report,all} --data D --root R``."""
 
 from __future__ import annotations
 
@@ -9,10 +9,12 @@ from veritable.session import build_session
 from veritable.sources.raw import default_paths
 from veritable.sources.tables import Store
 
+PHASES = ["load", "profile", "assess", "standardize", "report"]
+
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="veritable")
-    parser.add_argument("phase", choices=["load", "profile", "assess", "standardize", "all"])
+    parser.add_argument("phase", choices=[*PHASES, "all"])
     parser.add_argument("--data", required=True, help="folder of the erp_*.csv files")
     parser.add_argument("--root", required=True, help="folder of the tables, shared by executors")
     parser.add_argument("--csv", action="store_true", help="also write results as CSV reports")
@@ -26,7 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     store = Store(spark, args.root)
     reports = f"{args.root.rstrip('/')}/reports" if args.csv else None
     phases.prepare(store)
-    wanted = ["load", "profile", "assess", "standardize"] if args.phase == "all" else [args.phase]
+    wanted = PHASES if args.phase == "all" else [args.phase]
     if "load" in wanted:
         phases.load(
             spark, store, default_paths(args.data), "append" if args.append else "overwrite",
@@ -42,6 +44,9 @@ def main(argv: list[str] | None = None) -> None:
         tables["quality_scorecard_domain"].show(truncate=False)
     if "standardize" in wanted:
         phases.run_standardize(store, reports)["remediation_summary"].show(truncate=False)
+    # The report is drawn from the exact rules' tables.
+    if "report" in wanted and (args.phase == "report" or args.ruleset == "sql"):
+        phases.run_report(store, reports)["report_headline"].show(truncate=False, vertical=True)
 
 
 if __name__ == "__main__":

@@ -50,12 +50,14 @@ def surplus(df: DataFrame, keys: Sequence[str], record_id: str, order: Column) -
     """Ids of all rows but the first of each key; the first has the least (order, id).
 
     Ids of all members are counted, less one for each key that the id comes first in. So no
-    ranking over a whole group is needed, and copies of a first row are kept.
+    ranking over a whole group is needed, and copies of a first row are kept. All rows are only
+    counted by key; the first row is sought among the rows of repeated keys.
     """
-    position = F.struct(order.alias("o"), F.col(record_id).alias("id"))
-    groups = group_sizes(df, keys, F.min(position).alias("first")).filter("n > 1")
-    members = attach(df.select(record_id, *keys), groups.select(*keys), keys, "left_semi")
-    firsts = groups.select(F.col("first.id").alias(record_id))
+    groups = group_sizes(df, keys).filter("n > 1").select(*keys)
+    members = attach(df.select(record_id, *keys, order.alias("_order")), groups, keys, "left_semi")
+    position = F.struct(F.col("_order").alias("o"), F.col(record_id).alias("id"))
+    firsts = members.groupBy(*keys).agg(F.min(position).alias("first")).select(
+        F.col("first.id").alias(record_id))
     signed = members.select(record_id, F.lit(1).alias("n")).unionByName(
         firsts.withColumn("n", F.lit(-1)))
     later = signed.groupBy(record_id).agg(F.sum("n").alias("n"))

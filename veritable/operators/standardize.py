@@ -106,41 +106,66 @@ def assert_key(df: DataFrame, keys: Sequence[str]) -> None:
 
 # --- price ----------------------------------------------------------------------------
 
-# percentile_approx errs by at most 1/ACCURACY of the rows, ten times less than BRACKET.
+#: Distinct values of a group that are ranked in one task; a group with more is narrowed first.
+RANKED_VALUES = 100_000
+#: Ranges that a group is cut into when it is narrowed, and the accuracy of their borders.
+RANGES = 64
 ACCURACY = 10_000
-BRACKET = 0.001
 
 
-def exact_medians(df: DataFrame, group: str, value: str) -> DataFrame:
+def _around_the_median(rows: Column, upto: Column) -> Column:
+    """Whether ``rows`` rows that end at position ``upto`` hold one of the middle positions."""
+    return (upto >= F.floor((F.col("total") + 1) / 2)) & (
+        upto - rows < F.floor(F.col("total") / 2) + 1)
+
+
+def _narrowed(values: DataFrame, group: str, value: str) -> DataFrame:
+    """The distinct values of the one or two ranges per group that the median lies in.
+
+    The borders are approximate quantiles, the rows of each range are counted. So poor borders make
+    ranges of unequal size, but never a wrong one.
+    """
+    at = [i / RANGES for i in range(1, RANGES)]
+    borders = written(
+        values.groupBy(group).agg(
+            F.percentile_approx(value, F.array(*map(F.lit, at)), ACCURACY).alias("borders")),
+        "borders")
+    dealt = keyed.attach(values, borders, [group], "inner").withColumn(
+        "range", F.size(F.filter("borders", lambda b: b < F.col(value)))).drop("borders")
+    in_order = Window.partitionBy(group).orderBy("range")  # at most RANGES rows a group
+    ranges = (
+        dealt.groupBy(group, "total", "before", "range").agg(F.sum("n").alias("rows"))
+        .withColumn("upto", F.col("before") + F.sum("rows").over(in_order))
+        .filter(_around_the_median(F.col("rows"), F.col("upto")))
+        .withColumn("start", F.min(F.col("upto") - F.col("rows")).over(Window.partitionBy(group))))
+    chosen = written(ranges.select(group, "range", "start"), "ranges")
+    return keyed.attach(dealt, chosen, [group, "range"], "inner").select(
+        group, value, "n", "total", F.col("start").alias("before"))
+
+
+def exact_medians(
+    df: DataFrame, group: str, value: str, ranked: int = RANKED_VALUES
+) -> DataFrame:
     """Exact median of ``value`` per non-NULL ``group``, whatever the size of a group.
 
-    A sketch gives each group a bracket that must contain the median. Values outside it only
-    matter by their number and collapse into one row on each side before the shuffle; the few
-    distinct values inside it are ranked exactly.
+    Equal values of a group collapse into a count, in a shuffle by group and value. While a group
+    has over ``ranked`` distinct values, groups are narrowed to the range around the median; what is
+    left is ranked. Each narrowing leaves about a thirtieth of the values at most.
     """
     present = df.select(group, value).filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-    sketch = F.percentile_approx(value, F.array(F.lit(0.5 - BRACKET), F.lit(0.5 + BRACKET)), ACCURACY)
-    brackets = present.groupBy(group).agg(sketch.alias("b"), F.count(F.lit(1)).alias("total"))
-
-    side = F.when(F.col(value) < F.col("b")[0], -1).when(F.col(value) > F.col("b")[1], 1).otherwise(0)
-    ranked = (
-        keyed.attach(present, brackets, [group], "inner")
-        .withColumn("side", side)
-        .withColumn("v", F.when(F.col("side") == 0, F.col(value)))
-        .groupBy(group, "total", "side", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("last", F.sum("n").over(Window.partitionBy(group).orderBy("side", "v")))
-    )
-
-    def at(position: Column) -> Column:
-        here = (F.col("last") >= position) & (F.col("last") - F.col("n") < position)
-        inside = F.when(F.col("side") == 0, F.col("v")).otherwise(
-            F.raise_error(F.lit("the median lies outside its bracket")).cast("double"))
-        return F.max(F.when(here, inside))
-
-    lower = F.floor((F.col("total") + 1) / 2)
-    upper = F.floor(F.col("total") / 2) + 1
-    return ranked.groupBy(group).agg(((at(lower) + at(upper)) / 2).alias("median"))
+    counts = written(keyed.group_sizes(present, [group, value]), "values")
+    totals = written(counts.groupBy(group).agg(F.sum("n").alias("total")), "totals")
+    values = keyed.attach(counts, totals, [group], "inner").withColumn(
+        "before", F.lit(0).cast("long"))
+    largest = counts.groupBy(group).count().agg(F.max("count"))
+    while (largest.first()[0] or 0) > ranked:
+        values = written(_narrowed(values, group, value), "narrowed")
+        largest = values.groupBy(group).count().agg(F.max("count"))
+
+    by_value = Window.partitionBy(group).orderBy(value)  # at most ``ranked`` rows a group
+    middle = values.withColumn("upto", F.col("before") + F.sum("n").over(by_value)).filter(
+        _around_the_median(F.col("n"), F.col("upto")))
+    return middle.groupBy(group).agg(((F.min(value) + F.max(value)) / 2).alias("median"))
 
 
 def category_medians(products: DataFrame) -> DataFrame:

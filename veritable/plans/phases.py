@@ -1,4 +1,4 @@
-"""The four jobs a user runs: load, profile, assess and standardize.
+"""The jobs a user runs: load, profile, assess, standardize and report.
 
 Each phase reads tables that an earlier phase wrote, so nothing is computed twice and a lost
 executor costs at most the tasks it held.
@@ -130,3 +130,23 @@ def run_standardize(store: Store, reports: str | None = None) -> dict[str, DataF
         report.remediation_summary(audit["products"], frames),
         "governance", "remediation_summary")
     return out
+
+
+def run_report(store: Store, reports: str | None = None) -> dict[str, DataFrame]:
+    """The report's tables, from what ``run_assess`` (exact rules) and ``run_standardize`` wrote."""
+    def stored(name: str) -> DataFrame:
+        return store.read("governance", name)
+
+    card, rows = stored("quality_scorecard"), stored("table_row_counts")
+    tables = {
+        "report_composition": report.composition(card),
+        "report_prevalence": report.prevalence(card, rows),
+        "report_heatmap": report.heatmap(card),
+        "report_trend": score.score_trend(stored("quality_scorecard_history")),
+        "report_review_queue": report.review_queue(
+            raw_frames(store), stored("staging_products"), rules.sql_rules()),
+        "report_headline": report.headline(card, rows, stored("remediation_summary")),
+    }
+    out = {n: store.write(df, "governance", n) for n, df in tables.items()}
+    _write_reports(out, reports)
+    return out
