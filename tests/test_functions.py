@@ -43,6 +43,13 @@ def test_title_and_strip_agree_with_python(spark):
             assert differs == (value != canonical)
 
 
+def test_casing_keeps_every_character(spark):
+    x = F.col("x")
+    value = "a\uffff b-3d\uffff"
+    row = column(spark, [value]).select(text.title(x), text.initcap(x)).first()
+    assert tuple(row) == (value.title(), python_initcap(value))
+
+
 def test_initcap_counts_digits_as_word_parts(spark):
     x = F.col("x")
     rows = column(spark, WORDS).select(

@@ -140,6 +140,37 @@ def test_append_doubles_unless_reset(spark, data_dir, store):
     assert store.read("raw", "products").count() == 3
 
 
+def test_failed_overwrite_leaves_the_old_table(spark, store, tmp_path):
+    old = store.write(spark.range(5).toDF("x"), "raw", "numbers")
+    bad = spark.range(5).selectExpr("IF(id = 4, raise_error('broken'), id) AS x")
+    with pytest.raises(Exception, match="broken"):
+        store.write(bad, "raw", "numbers")
+    assert old.count() == spark.table("raw.numbers").count() == 5
+    assert [p.name for p in (tmp_path / "store/raw").iterdir()
+            if not p.name.startswith(".")] == ["numbers"]
+
+
+def test_a_table_can_be_rewritten_from_itself(spark, store):
+    table = store.write(spark.range(5).toDF("x"), "raw", "numbers")
+    store.write(table.where("x > 1"), "raw", "numbers")
+    assert spark.table("raw.numbers").count() == 3
+    wider = store.write(spark.range(2).selectExpr("id AS x", "'a' AS y"), "raw", "numbers")
+    assert spark.table("raw.numbers").collect() == wider.collect()
+    for day in (1, 2):
+        parts = spark.sql(f"SELECT 1 AS x, {day} AS day")
+        store.write(parts, "raw", "days", partition_by=["day"])
+    assert spark.sql("SELECT day FROM raw.days").collect() == [(2,)]
+
+
+def test_views_and_functions_in_another_session(spark, data_dir, store):
+    phases.load(spark, store, raw.default_paths(data_dir))
+    phases.run_assess(store)
+    other = spark.newSession()
+    assert other.sql("SELECT count(*) FROM governance.v_validity_orphan_supplier").first()[0] == 1
+    assert other.sql("SELECT governance.parse_flexible_date('08/10/2025')").first()[0] == dt.date(
+        2025, 8, 10)
+
+
 def test_scan_keeps_text_as_it_is(spark, data_dir):
     products = raw.read_all(spark, {"products": f"{data_dir}/erp_products.csv"})["products"]
     rows = {r.sku: r for r in products.collect()}

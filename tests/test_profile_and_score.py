@@ -23,6 +23,21 @@ def test_column_profile(spark):
     assert tuple(rows["v"]) == ("t", "v", 5, 1, 20.0, 3, 2)
 
 
+def test_approximate_profile(spark):
+    """Distinct counts within three deviations, the rest exact, and no cell in a shuffle."""
+    df = spark.range(30000).select(
+        F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 > 0, " x").alias("v"))
+    exact = {r["column"]: r for r in profile.column_profile({"t": df}).collect()}
+    rough = profile.column_profile({"t": df}, distinct_error=0.02)
+    plan = rough._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "hashpartitioning(number" in plan
+    for r in rough.collect():
+        e = exact[r["column"]]
+        assert abs(r.distinct_count - e.distinct_count) <= 0.06 * e.distinct_count
+        assert (r.row_count, r.null_count, r.whitespace_dirty_count) == (
+            e.row_count, e.null_count, e.whitespace_dirty_count)
+
+
 def test_typed_tables_can_be_profiled_too(spark):
     df = spark.sql("SELECT 1 AS a, DATE'2025-01-01' AS b UNION ALL SELECT NULL, DATE'2025-01-01'")
     rows = {r["column"]: tuple(r)[2:] for r in profile.column_profile({"t": df}).collect()}

@@ -48,10 +48,15 @@ def _not_capitalized(c: Column, word: str) -> Column:
 def _capitalize(c: Column, word: str) -> Column:
     """``F.initcap`` with words of our own: it starts a word after a space, so mark each start.
 
-    Most values are canonical already and are passed on as they are.
+    Most values are canonical already and are passed on as they are. A value that holds the mark
+    itself is taken apart and put together again, so that no character of it is lost.
     """
     marked = F.regexp_replace(c, f"(?<![{word}])(?=[{word}])", _WORD_START)
     rebuilt = F.replace(F.initcap(marked), F.lit(_WORD_START), F.lit(""))
+    runs = F.regexp_extract_all(c, F.lit(f"[{word}]+|[^{word}]+"), F.lit(0))
+    pieced = F.array_join(
+        F.transform(runs, lambda w: F.when(w.rlike(f"^[{word}]"), F.initcap(w)).otherwise(w)), "")
+    rebuilt = F.when(F.contains(c, F.lit(_WORD_START[0])), pieced).otherwise(rebuilt)
     return F.when(_not_capitalized(c, word), rebuilt).otherwise(c)
 
 

@@ -47,11 +47,14 @@ REFERENCES = (
 )
 
 
-def column_profile(frames: Frames) -> DataFrame:
+def column_profile(frames: Frames, distinct_error: float | None = None) -> DataFrame:
     """Rows, NULLs, distinct values and untrimmed values of every column of every table.
 
     All cells become (column number, value) and are grouped once: repeated values collapse
-    before the shuffle, and a table is read once however many columns it has.
+    before the shuffle, and a table is read once however many columns it has. Columns of nearly
+    unique values do not collapse; ``distinct_error`` is then the relative standard deviation
+    (0.01 is 1%) that distinct counts may have: no cell is shuffled, only one sketch per task and
+    column. The other counts stay exact.
     """
     names = [(table, column) for table, df in frames.items() for column in df.columns]
 
@@ -64,10 +67,15 @@ def column_profile(frames: Frames) -> DataFrame:
 
     cells = union_all([cells_of(table, df) for table, df in frames.items()])
     n, value = F.col("n"), F.col("value")
-    profile = keyed.group_sizes(cells, ["number", "value"]).groupBy("number").agg(
+    if distinct_error is None:
+        counted, distinct = keyed.group_sizes(cells, ["number", "value"]), F.count(value)
+    else:
+        counted = cells.withColumn("n", F.lit(1))
+        distinct = F.approx_count_distinct(value, distinct_error)
+    profile = counted.groupBy("number").agg(
         F.sum(n).alias("row_count"),
         F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
-        F.count(value).alias("distinct_count"),
+        distinct.alias("distinct_count"),
         F.coalesce(F.sum(F.when(value != text.strip(value), n)), F.lit(0))
         .alias("whitespace_dirty_count"),
     )

@@ -157,6 +157,11 @@ def sql_rule_texts(products: str = "products") -> dict[str, str]:
     return {name: _violations(*args) for name, args in _sql_rules(products).items()}
 
 
+def _some_rule(name: str, source: str) -> str:
+    """A rule over another frame of the same columns."""
+    return _violations(*_sql_rules("products")[name][:6], source)
+
+
 def _union(texts) -> str:
     return " UNION ALL ".join(f"({t})" for t in texts)
 
@@ -219,6 +224,12 @@ CELL_LOG = _union(cell_rule_texts().values())
 ROWS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)
 
+CELLS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, "
+    + " + ".join(f"count({_q(c)})" for c in ENTITIES[t].columns) + f" AS cells FROM {t}"
+    for t in TABLES)
+BARE_KEY = "regexp_replace(sku, '^(ITM|PROD)', '')"
+
 
 def card(log: str) -> str:
     """Scorecard with the score also as an integer, ``k`` ten-thousandths."""
@@ -435,6 +446,33 @@ def oracle_sql() -> dict[str, str]:
         "load_normalized_products": with_tables("SELECT * FROM products"),
         "csv_roundtrip": with_tables("SELECT * FROM products"),
         "raw_load_counts": with_tables(ROWS),
+        "raw_append": with_tables(
+            f"SELECT table_name, 2 * row_count AS row_count FROM ({ROWS}) r"),
+        "raw_reset": with_tables(ROWS),
+        "registry_scan": with_tables(CELLS),
+        "layers": with_tables(_union(
+            f"SELECT '{layer}' AS layer, count(*) AS row_count, "
+            f"count(DISTINCT category) AS categories FROM products WHERE {where}"
+            for layer, where in (("raw", "true"), ("staging", "category IS NOT NULL")))),
+        "rule_sku_without_letters": with_tables(_some_rule(
+            "rule_sku_prefix",
+            f"(SELECT * REPLACE ({BARE_KEY} AS sku) FROM products)")),
+        "rule_sign_with_zero": with_tables(_some_rule(
+            "rule_sign",
+            "(SELECT * REPLACE (CASE WHEN right(quantity_change, 1) = '7' THEN '0' "
+            "ELSE quantity_change END AS quantity_change) FROM inventory_transactions)")),
+        "casing": with_tables(
+            f"SELECT sku, trim(v, ' ') AS trimmed, trim(v, e' \\t') AS stripped, "
+            f"{initcap('v')} AS initcap, {title('v')} AS title, "
+            f"category <> {initcap('category')} AS not_initcap, "
+            f"category <> {title('category')} AS not_title FROM (SELECT sku, category, "
+            "e' \\t' || lower(product_name) || '3d-x o''B ' || category || e'\\t ' AS v "
+            "FROM products) p"),
+        "key_prefixes": with_tables(
+            "SELECT key, nullif(regexp_extract(key, '^[A-Za-z]+'), '') AS prefix, "
+            "regexp_replace(key, '^[A-Za-z]+', '') AS rest, "
+            "'SKU' || regexp_replace(key, '^[A-Za-z]+', '') AS rewritten "
+            f"FROM (SELECT {BARE_KEY} AS key FROM products) p"),
         "table_row_counts": with_tables(ROWS),
         **{name: with_tables(text) for name, text in sql_rule_texts().items()},
         "rule_views": with_tables(grouped.format(log=LOG)),

@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritable.functions import dates
+from veritable.functions import dates, text
 from veritable.operators import evaluate, profile, report, rules, score, standardize
 from veritable.operators.evaluate import Frames
-from veritable.sources.fixtures import FIXTURE_KEYWORDS, DirtyFrames, unnormalized
-from veritable.sources.raw import normalize_nulls, read_csv
+from veritable.sources.fixtures import FIXTURE_KEYWORDS, FIXTURES, DirtyFrames, unnormalized
+from veritable.sources.raw import default_paths, normalize_nulls, read_all, read_csv
 from veritable.sources.schemas import ENTITIES
 from veritable.sources.scratch import new_path, written
 from veritable.sources.tables import Store, write_csv
@@ -87,6 +87,88 @@ def raw_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.write_raw(DirtyFrames(spark, sf_dir))
 
 
+def registry_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every registered entity written as CSV, found by its path and scanned: rows and filled cells."""
+    folder = new_path(spark, "erp_csv")
+    paths = default_paths(folder)
+    for name in FIXTURES:
+        write_csv(unnormalized(spark, sf_dir, name), paths[name])
+    return evaluate.union_all([
+        df.agg(F.count(F.lit(1)).alias("row_count"),
+               sum(F.count(c) for c in df.columns).alias("cells"))
+        .select(F.lit(name).alias("table_name"), "row_count", "cells")
+        for name, df in read_all(spark, paths).items()])
+
+
+def raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appended loads: every row twice."""
+    store = Store(spark, new_path(spark, "store"), register=False)
+    frames = DirtyFrames(spark, sf_dir)
+    store.write_raw(frames, "append")
+    return store.write_raw(frames, "append")
+
+
+def raw_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load, a reset and an appended load: every row once."""
+    store = Store(spark, new_path(spark, "store"), register=False)
+    frames = DirtyFrames(spark, sf_dir)
+    store.write_raw(frames)
+    store.reset_raw()
+    return store.write_raw(frames, "append")
+
+
+def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw and a staging table of one name, written twice and found by layer in the catalog."""
+    store = Store(spark, new_path(spark, "store"))
+    store.create_layers()
+    products = DirtyFrames(spark, sf_dir)["products"]
+    for _ in range(2):
+        stored = store.write(products, "raw", "products")
+        store.write(stored.where("category IS NOT NULL"), "staging", "products")
+    counted = "count(*) AS row_count, count(DISTINCT category) AS categories"
+    return spark.sql(f"SELECT 'raw' AS layer, {counted} FROM raw.products UNION ALL "
+                     f"SELECT 'staging' AS layer, {counted} FROM staging.products")
+
+
+# --- values that the plain fixtures lack -----------------------------------------------
+
+
+def casing(frames: Frames) -> DataFrame:
+    """Both trims and both capitalizations of values with digits, tabs and inner marks."""
+    raw = F.concat(F.lit(" \t"), F.lower("product_name"), F.lit("3d-x o'B "), F.col("category"),
+                   F.lit("\t "))
+    return frames["products"].select("sku", "category", raw.alias("value")).select(
+        "sku", F.trim("value").alias("trimmed"), text.strip(F.col("value")).alias("stripped"),
+        text.initcap(F.trim("value")).alias("initcap"),
+        text.title(text.strip(F.col("value"))).alias("title"),
+        text.differs_from_initcap(F.col("category")).alias("not_initcap"),
+        text.differs_from_title(F.col("category")).alias("not_title"))
+
+
+def key_prefixes(frames: Frames) -> DataFrame:
+    """Prefix operations on keys of which some have no letters."""
+    sku = F.regexp_replace("sku", "^(ITM|PROD)", "")
+    return frames["products"].select(sku.alias("key")).select(
+        "key", text.leading_letters(F.col("key")).alias("prefix"),
+        text.without_prefix(F.col("key")).alias("rest"),
+        text.replace_prefix(F.col("key"), "SKU").alias("rewritten"))
+
+
+def rule_sku_without_letters(frames: Frames) -> DataFrame:
+    bare = frames["products"].withColumn("sku", F.regexp_replace("sku", "^(ITM|PROD)", ""))
+    chosen = [r for r in rules.sql_rules() if r.name == "non_standard_sku_prefix"]
+    return evaluate.violations_log({"products": bare}, chosen)
+
+
+def rule_sign_with_zero(frames: Frames) -> DataFrame:
+    """Quantities that end in 7 become zero, which fits either sign."""
+    change = F.col("quantity_change")
+    some = frames["inventory_transactions"].withColumn(
+        "quantity_change", F.when(change.endswith("7"), "0").otherwise(change))
+    chosen = [r for r in rules.sql_rules() if r.name == "sign_mismatch"]
+    return evaluate.violations_log({"inventory_transactions": some}, chosen)
+
+
 # --- the log and its sinks ------------------------------------------------------------
 
 
@@ -253,6 +335,10 @@ QUERIES: dict[str, Query] = {
     "load_normalized_products": load_normalized_products,
     "csv_roundtrip": csv_roundtrip,
     "raw_load_counts": raw_load_counts,
+    "raw_append": raw_append,
+    "raw_reset": raw_reset,
+    "registry_scan": registry_scan,
+    "layers": layers,
     "table_row_counts": over_frames(score.row_counts),
     # rules, one row per record
     "rule_completeness_products": _rule("products", "missing_required_field"),
@@ -267,6 +353,10 @@ QUERIES: dict[str, Query] = {
     "rule_date_format": _rule("purchase_orders", "non_primary_date_format"),
     "rule_po_dates": _rule("purchase_orders", "delivery_before_order"),
     "rule_sign": _rule("inventory_transactions", "sign_mismatch"),
+    "rule_sku_without_letters": over_frames(rule_sku_without_letters),
+    "rule_sign_with_zero": over_frames(rule_sign_with_zero),
+    "casing": over_frames(casing),
+    "key_prefixes": over_frames(key_prefixes),
     "rule_views": rule_views,
     "flexible_dates": flexible_dates,
     "violations_log": over_frames(full_log),

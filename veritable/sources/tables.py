@@ -1,11 +1,13 @@
 """Layered tables (raw, staging, governance) and report files.
 
 Each table is a Parquet folder ``<root>/<layer>/<name>``, by default also registered in the
-catalog as ``<layer>.<name>``.
+catalog as ``<layer>.<name>``. A table is replaced by a folder that was written in full, so a job
+that fails leaves the old one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +22,27 @@ from veritable.sources.schemas import ENTITIES
 LAYERS = ("raw", "staging", "governance")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """``path`` as Spark's file system sees it, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; the old one goes last."""
+    files, target = _file_system(spark, path)
+    fresh, aside = _file_system(spark, new)[1], _file_system(spark, f"{new}-old")[1]
+    existed = files.exists(target)
+    if existed and not files.rename(target, aside):
+        raise OSError(f"cannot replace {path}")
+    if not files.rename(fresh, target):
+        if existed:
+            files.rename(aside, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if existed:
+        files.delete(aside, True)
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -37,25 +60,48 @@ class Store:
         self, df: DataFrame, layer: str, name: str,
         mode: str = "overwrite", partition_by: Sequence[str] = (),
     ) -> DataFrame:
-        writer = df.write.mode(mode)
+        path = self.path(layer, name)
+        replaces = mode == "overwrite"
+        new = self.path(layer, f"_{name}-{uuid.uuid4().hex}") if replaces else path
+        writer = df.write.mode("error" if replaces else mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, name))
+        try:
+            writer.parquet(new)
+            if replaces:
+                replace_folder(self.spark, new, path)
+        finally:
+            if replaces:
+                files, folder = _file_system(self.spark, new)
+                files.delete(folder, True)
         if self.register:
-            self._register(layer, name, bool(partition_by))
+            self._register(layer, name, df.schema, bool(partition_by))
         return self.read(layer, name, df.schema)
 
-    def _register(self, layer: str, name: str, partitioned: bool) -> None:
-        """Point the catalog at the folder. Dropping such a table leaves its files alone.
+    def _register(self, layer: str, name: str, schema: T.StructType, partitioned: bool) -> None:
+        """Point the catalog at the folder, if it does not already. Dropping leaves the files alone.
 
         The files are written first and by path: saving through a catalog that does not know
         the table would replace what an earlier job appended.
         """
-        table = f"{layer}.{name}"
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(layer, name)}'")
+        table, path = f"{layer}.{name}", self.path(layer, name)
+        if self._registered(table, path, schema):
+            self.spark.sql(f"REFRESH TABLE {table}")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
         if partitioned:
-            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+
+    def _registered(self, table: str, path: str, schema: T.StructType) -> bool:
+        """The catalog has the table with this folder and these columns."""
+        if not self.spark.catalog.tableExists(table):
+            return False
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        files, folder = _file_system(self.spark, path)
+        return told.first()[1] == files.makeQualified(folder).toString() and {
+            (f.name, f.dataType) for f in self.spark.table(table).schema
+        } == {(f.name, f.dataType) for f in schema}
 
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Read by folder, so that a later job needs no catalog that outlives a session."""
