@@ -13,6 +13,7 @@ from veritable.llm import (
     licenses,
     maxent,
     mtree,
+    oracles,
     pieces,
     pii,
     simhash,
@@ -136,4 +137,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scores": op9_lm_scores,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_decontamination": oracles.DECONTAMINATION,
+    "op6_top_k": oracles.TOP_K,
+    "op10_warc": oracles.WARC,
+}
