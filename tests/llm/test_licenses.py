@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from veritable.llm import licenses
 from veritable.llm.queries import QUERIES
@@ -54,3 +55,51 @@ def test_edge_rows(spark):
         (d, brute(t)[0], brute(t)[1]) for d, t in rows]
     assert got[0].score == 0 and got[2].score >= 0.6
     assert licenses.scan(df.limit(0)).collect() == []
+
+
+def spellings(parsed):
+    """Strings of a parsed pattern: every alternative of every choice at least once."""
+    out = [b""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            each = [bytes([arg])]
+        elif name == "IN":
+            each = [bytes([x if str(o) == "LITERAL" else x[0]]) for o, x in arg]
+        elif name == "MAX_REPEAT":
+            each = [*([b""] if arg[0] == 0 else []), *spellings(arg[2])]
+        elif name == "BRANCH":
+            each = [s for branch in arg[1] for s in spellings(branch)]
+        elif name == "SUBPATTERN":
+            each = spellings(arg[3])
+        else:
+            assert name == "ASSERT", name
+            each = [b" "]
+        n = max(len(out), len(each))
+        if len(out) > 1 and len(each) > 1:  # each of both, not all pairs
+            out = [out[i % len(out)] + e for i, e in enumerate(each)] + [
+                o + each[i % len(each)] for i, o in enumerate(out)]
+        else:
+            out = [out[i % len(out)] + each[i % len(each)] for i in range(n)]
+    return list(dict.fromkeys(out))
+
+
+def test_every_spelling_passes_the_keywords(monkeypatch):
+    rules = licenses.rules()
+    cases = [(rule, s) for rule in rules for s in spellings(re._parser.parse(rule.pattern.pattern))]
+    assert len(cases) > 5 * len(rules)
+    for rule, s in cases:
+        assert rule.pattern.match(s), s
+        assert all(any(k in s for k in group) for group in rule.keywords), (rule, s)
+    fast = [licenses.detections(s) for _, s in cases]
+    assert all(fast)
+    monkeypatch.setattr(licenses, "rules", lambda: tuple(replace(r, keywords=()) for r in rules))
+    assert fast == [licenses.detections(s) for _, s in cases]
+
+
+def test_spelled_out_names():
+    by = "licensed under the Creative Commons Attribution"
+    assert labels(f"{by} 4.0 International License") == [("cc-by", 0, 8)]
+    assert labels(f"{by}-NonCommercial-NoDerivatives 4.0") == [("cc-by-nc-nd", 0, 10)]
+    assert labels(f"{by} Non-Commercial Share Alike") == [("cc-by-nc-sa", 0, 10)]
+    assert labels("Available under the Open Database License") == [("odbl", 0, 6)]

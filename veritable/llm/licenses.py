@@ -1,7 +1,7 @@
 """License scans by ordered signature rules.
 
-A rule is a regular expression over normalized words, with keywords that must occur before it is
-tried, a priority and a weight. A detection inside the interval of a kept one of at least the same
+A rule is a regular expression over normalized words, with groups of keywords, one of each of which
+must occur before it is tried, a priority and a weight. A detection inside the interval of a kept one of at least the same
 priority is suppressed. The rules are a few phrasings for each license family, so they number in the
 hundreds without being listed one by one.
 """
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 #: Phrases whose every place counts, and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: Label, name as normalized words (a regular expression), keyword, whether it has versions.
+#: Label, name as normalized words (a regular expression), keyword or keywords, whether it has versions.
+#: Every alternative of a name must hold one of the keywords.
 FAMILIES = (
     ("agpl", "(?:gnu )?affero general public", "affero", True),
     ("agpl", "agpl", "agpl", True),
@@ -33,18 +34,21 @@ FAMILIES = (
     ("bsd-4-clause", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd", False),
     ("bsd", "bsd", "bsd", False),
     ("boost", "boost(?: software)?", "boost", True),
-    ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)", "nc nd", True),
-    ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)", "nc sa", True),
-    ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)", "nc", True),
-    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)", "nd", True),
-    ("cc-by-sa", "(?:cc by sa|creative commons attribution share ?alike)", "sa", True),
-    ("cc-by", "(?:cc by|creative commons attribution)", "cc", True),
-    ("cc0", "(?:cc0|cc zero|creative commons zero)", "cc", True),
-    ("cddl", "(?:cddl|common development and distribution)", "d", True),
+    ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)",
+     ("cc by nc nd", "creative commons"), True),
+    ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)",
+     ("cc by nc sa", "creative commons"), True),
+    ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)", ("cc by nc", "creative commons"), True),
+    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)",
+     ("cc by nd", "creative commons"), True),
+    ("cc-by-sa", "(?:cc by sa|creative commons attribution share ?alike)", ("cc by sa", "creative commons"), True),
+    ("cc-by", "(?:cc by|creative commons attribution)", ("cc by", "creative commons"), True),
+    ("cc0", "(?:cc0|cc zero|creative commons zero)", ("cc0", "cc zero", "creative commons"), True),
+    ("cddl", "(?:cddl|common development and distribution)", ("cddl", "common development"), True),
     ("cecill", "cecill", "cecill", True),
     ("cpl", "common public", "common", True),
     ("epl", "eclipse public", "eclipse", True),
-    ("eupl", "(?:eupl|european union public)", "eu", True),
+    ("eupl", "(?:eupl|european union public)", ("eupl", "european union"), True),
     ("gfdl", "(?:gnu )?free documentation", "documentation", True),
     ("gpl", "(?:gnu )?general public", "general", True),
     ("gpl", "(?:gnu )?gpl", "gpl", True),
@@ -52,20 +56,20 @@ FAMILIES = (
     ("lgpl", "(?:gnu )?(?:lesser|library) general public", "general", True),
     ("lgpl", "(?:gnu )?lgpl", "lgpl", True),
     ("lppl", "latex project public", "latex", True),
-    ("mit", "(?:mit|expat)", "", False),
+    ("mit", "(?:mit|expat)", ("mit", "expat"), False),
     ("mpl", "mozilla public", "mozilla", True),
     ("ms-pl", "microsoft public", "microsoft", False),
-    ("ncsa", "(?:ncsa|university of illinois)", "n", False),
-    ("odbl", "(?:odbl|open database)", "od", True),
+    ("ncsa", "(?:ncsa|university of illinois)", ("ncsa", "illinois"), False),
+    ("odbl", "(?:odbl|open database)", ("odbl", "open database"), True),
     ("ofl", "(?:sil )?open font", "font", True),
     ("openssl", "openssl", "openssl", False),
     ("osl", "open software", "software", True),
     ("php", "php", "php", True),
     ("postgresql", "postgresql", "postgresql", False),
-    ("psf", "(?:psf|python software foundation)", "p", True),
+    ("psf", "(?:psf|python software foundation)", ("psf", "python"), True),
     ("unlicense", "unlicense", "unlicense", False),
     ("w3c", "w3c", "w3c", False),
-    ("wtfpl", "(?:wtfpl|do what the fuck you want to public)", "w", True),
+    ("wtfpl", "(?:wtfpl|do what the fuck you want to public)", ("wtfpl", "do what the"), True),
     ("zlib", "zlib(?: libpng)?", "zlib", False),
     ("zope", "zope public", "zope", True),
 )
@@ -104,7 +108,8 @@ _SPACE = bytes(c if chr(c).isdigit() or chr(c).islower() and c < 128 or c > 127
 class Rule:
     label: str
     pattern: re.Pattern
-    keywords: tuple[bytes, ...]
+    #: Groups of which one keyword each must occur.
+    keywords: tuple[tuple[bytes, ...], ...]
     priority: int
     weight: float
 
@@ -119,11 +124,15 @@ def rules() -> tuple[Rule, ...]:
             made.append((label, text, (keyword, own), priority, weight))
     made += [(label, text, (keyword,), *rest) for label, text, keyword, *rest in NOTICES]
     return tuple(sorted(
-        (Rule(label, re.compile(f" (?:{text})(?= )".encode()), tuple(k.encode() for k in keys if k),
+        (Rule(label, re.compile(f" (?:{text})(?= )".encode()), tuple(_group(k) for k in keys),
               priority, weight) for label, text, keys, priority, weight in made),
         key=lambda r: -r.priority))
 
 
+def _group(keywords: str | tuple[str, ...]) -> tuple[bytes, ...]:
+    return tuple(k.encode() for k in ([keywords] if isinstance(keywords, str) else keywords))
+
+
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().translate(_SPACE).split()
 
@@ -165,13 +174,13 @@ def _unsuppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Ru
 
 def detections(joined: bytes) -> list[tuple[int, int, str, float]]:
     """``first word, end word, label, weight`` of what is left after suppression, by place."""
-    present: dict[bytes, bool] = {}
+    present: dict[tuple[bytes, ...], bool] = {}
     found = []
     for rule in rules():
-        for k in rule.keywords:
-            if k not in present:
-                present[k] = k in joined
-            if not present[k]:
+        for group in rule.keywords:
+            if group not in present:
+                present[group] = any(k in joined for k in group)
+            if not present[group]:
                 break
         else:
             found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(joined)]
