@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from veritable.llm import warc
@@ -70,3 +71,27 @@ def test_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(pages, str(tmp_path / "none"))
     assert warc.resolved(warc.read(spark, str(tmp_path / "none"))).where(F.lit(True)).collect() == []
+
+
+def test_long_urls_in_the_middle_of_a_file(spark, tmp_path):
+    urls = ["http://a", "http://x/" + "u" * 100_000, "http://y/WARC/1.0", "http://z/" + "WARC/1.0\r\n" * 9_000, "http://b"]
+    pages = spark.createDataFrame([(i, u, f"p{i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    warc.write(pages.coalesce(1), str(tmp_path / "long"))
+    for payloads in (True, False):
+        got = warc.resolved(warc.read(spark, str(tmp_path / "long"), payloads)).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == brute([(i, f"p{i}") for i in range(len(urls))])
+
+
+@pytest.mark.parametrize("content", [FAKE + FAKE[:-5], FAKE + "x", "x" + FAKE])
+def test_a_file_that_is_not_reached_whole_is_an_error(spark, tmp_path, content):
+    (tmp_path / "part-0").write_bytes(content.encode())
+    with pytest.raises(ValueError, match="part-0"):
+        warc.read(spark, str(tmp_path))
+
+
+def test_places_that_share_a_header_end(spark, tmp_path):
+    """Only lines after a place count as its header, however many places share a blank line."""
+    head = "Content-Length: 2\r\n" + "a: WARC/1.0\r\n" * 20_000
+    content = f"WARC/1.0\r\nWARC-Type: response\r\n{head}\r\nab\r\n\r\n"
+    (tmp_path / "part-0").write_bytes(content.encode())
+    assert [(r.length, bytes(r.payload)) for r in warc.read(spark, str(tmp_path)).collect()] == [(2, b"ab")]

@@ -25,8 +25,6 @@ MAGIC = b"WARC/1.0\r\n"
 RECORD_END = "\r\n\r\n"
 #: Records of one file, which bounds the rounds and what a task reads at once.
 RECORDS_PER_FILE = 500
-#: Header bytes that are looked at; a candidate whose header is longer is none.
-HEADER_BYTES = 1 << 16
 
 
 def _digest(payload: bytes) -> str:
@@ -82,21 +80,20 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def _header(content: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    """Fields of the header at ``at`` and where its payload begins; None if it is no header."""
-    end = content.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if end < 0:
-        return None
-    lines = content[at + len(MAGIC):end].split(b"\r\n")
-    fields = dict(line.decode("utf-8", "replace").split(": ", 1) for line in lines if b": " in line)
-    size = fields.get("Content-Length", "")
-    if "WARC-Type" not in fields or not re.fullmatch("[0-9]{1,18}", size):
-        return None
-    return fields, end + 4
+def _header(content: bytes, begin: int, end: int) -> dict[str, tuple[int, str]]:
+    """Name → place and value of the last field of each name among the header lines given."""
+    fields, at = {}, begin
+    for line in content[begin:end].split(b"\r\n"):
+        name, colon, value = line.partition(b": ")
+        if colon:
+            fields[name.decode("utf-8", "replace")] = at, value.decode("utf-8", "replace")
+        at += len(line) + 2
+    return fields
 
 
 _FIELDS = ("file string, at long, next long, page long, type string, digest string, refers long, "
            "length long, payload binary")
+_NAMES = ("WARC-Type", "WARC-Record-ID", "WARC-Payload-Digest", "WARC-Refers-To", "Content-Length")
 _KINDS = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(),
           pa.int64(), pa.binary())
 
@@ -112,18 +109,26 @@ def _candidates(keep_payload: bool):
     A response's digest is that of the bytes read; a revisit has none, so its header tells it.
     """
     def looks(path: str, data: bytes) -> Iterator[tuple]:
-        at = data.find(MAGIC)
+        at, end, fields = data.find(MAGIC), -1, {}
         while at >= 0:
-            if found := _header(data, at):
-                fields, begin = found
-                end = begin + int(fields["Content-Length"])
-                if data[end:end + len(RECORD_END)] == RECORD_END.encode():
-                    payload, kind = data[begin:end], fields["WARC-Type"]
-                    told = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-                    yield (path, at, end + len(RECORD_END), _number(fields.get("WARC-Record-ID")),
-                           kind, told if kind == "revisit" else _digest(payload),
-                           _number(fields.get("WARC-Refers-To")), len(payload),
-                           payload if keep_payload else None)
+            first = at + len(MAGIC)
+            if end < at:  # places before one header end share its lines, which are read once
+                end = data.find(b"\r\n\r\n", at)
+                if end < 0:
+                    return
+                fields, digests = _header(data, first, end), {}
+            own = {k: fields[k][1] for k in _NAMES if k in fields and fields[k][0] >= first}
+            if "WARC-Type" in own and re.fullmatch("[0-9]{1,18}", own.get("Content-Length", "")):
+                begin = end + 4
+                stop = begin + int(own["Content-Length"])
+                if data[stop:stop + len(RECORD_END)] == RECORD_END.encode():
+                    kind, told = own["WARC-Type"], own.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+                    if kind != "revisit" and stop not in digests:
+                        digests[stop] = _digest(data[begin:stop])
+                    yield (path, at, stop + len(RECORD_END), _number(own.get("WARC-Record-ID")),
+                           kind, told if kind == "revisit" else digests[stop],
+                           _number(own.get("WARC-Refers-To")), stop - begin,
+                           data[begin:stop] if keep_payload else None)
             at = data.find(MAGIC, at + 1)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +166,21 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """``page, type, digest, refers, length, payload`` of every record of the files under ``path``.
 
     A file is read by one task, so files should stay small enough for a task's memory; ``write``
-    bounds their records. Bytes after the last record that the start reaches are not records.
+    bounds their records. A file whose records do not reach its last byte raises an error.
     Without ``payloads`` the files are read once and the payloads stay null.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(
-        F.col("path").alias("file"), "content")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(
+        F.col("path").alias("file"), "length", "content")
+    files = listed.select("file", "content")
     found = written(files.mapInArrow(_candidates(False), _FIELDS), "candidates")
     true = reachable(found.select("file", "at", "next"))
+    ends = found.select("file", "at", "next").join(true, ["file", "at"], "left_semi").groupBy(
+        "file").agg(F.max("next").alias("reached"))
+    short = listed.select("file", "length").join(ends, "file", "left").where(
+        F.col("length") != F.coalesce("reached", F.lit(0)))
+    if broken := short.head(1):
+        raise ValueError("records reach byte {reached} of {length} of {file}".format(
+            **broken[0].asDict()))
     if payloads:
         found = files.mapInArrow(_candidates(True), _FIELDS)
     return found.join(true, ["file", "at"], "left_semi").drop("file", "at", "next")
