@@ -14,6 +14,7 @@ from veritable.llm import (
     maxent,
     mtree,
     oracles,
+    periodic,
     pieces,
     pii,
     simhash,
@@ -125,6 +126,32 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"), F.col("refers").alias("refers_to"))
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """Some texts with a planted repetition: from word ``at`` on, ``period`` words again and again."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    place = lambda word, i: F.when(i < F.col("at"), word).otherwise(F.get(
+        "words", (F.col("at") + (i - F.col("at")) % F.col("period")).cast("int")))
+    return (
+        docs.select("doc_id", "text", F.when(h % 10 == 0, F.array_remove(
+            F.split("text", r"[\x20\x09-\x0D]+", -1), "")).alias("words"))
+        .withColumn("at", g % n).withColumn("period", 1 + F.floor((n - F.col("at")) / (3 + g % 8)))
+        .select("doc_id", F.when(n > 0, F.array_join(F.transform("words", place), " "))
+                .otherwise(F.col("text")).alias("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_periods(_table(spark, sf_dir, "documents"))
+    found = periodic.find_runs(docs).withColumn("best", periodic.most_repeated(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
@@ -136,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_scores": op9_lm_scores,
     "op10_warc": op10_warc,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLES: dict[str, str] = {
     "op3_decontamination": oracles.DECONTAMINATION,
