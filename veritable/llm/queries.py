@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veritable.llm import (
     decontam,
+    jaccard,
     langid,
     licenses,
     maxent,
@@ -19,6 +20,7 @@ from veritable.llm import (
     pii,
     simhash,
     urlfilter,
+    variants,
     warc,
 )
 from veritable.sources.scratch import new_path
@@ -126,6 +128,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"), F.col("refers").alias("refers_to"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.vocabulary(_table(spark, sf_dir, "documents"), spoil_every=199)
+    return variants.group_variants(words)
+
+
 def planted_periods(docs: DataFrame) -> DataFrame:
     """Some texts with a planted repetition: from word ``at`` on, ``period`` words again and again."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -152,6 +159,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                        F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
@@ -163,7 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_scores": op9_lm_scores,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 ORACLES: dict[str, str] = {
     "op3_decontamination": oracles.DECONTAMINATION,
