@@ -325,8 +325,8 @@ def _cross(percent: int):
 def _pairs(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
     same = left is right
     bits = _folded([np.frombuffer(r[7], np.uint64) for r in (left if same else left + right)])
-    (nodes, parts, sizes), (more, other, larger) = (
-        (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6)) for rows in (left, right))
+    nodes, parts, sizes = (np.array([r[k] for r in left], np.int64) for k in (4, 5, 6))
+    more, other, larger = (np.array([r[k] for r in right], np.int64) for k in (4, 5, 6))
     for i, j in _may_link(bits[:len(left)], sizes, bits[-len(right):], larger, percent):
         keep = parts[i] != other[j]
         if same:
