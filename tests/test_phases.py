@@ -8,11 +8,11 @@ import time
 import pytest
 
 from veritable.__main__ import main
-from veritable.operators import score
+from veritable.operators import report, score
 from veritable.plans import phases
 from veritable.sources import raw
 from veritable.sources.schemas import ENTITIES
-from veritable.sources.tables import Store, write_csv
+from veritable.sources.tables import Store, TooManyRejects, write_csv
 
 CSV = {
     "products": [
@@ -237,3 +237,72 @@ def test_wrong_header_is_refused(spark, tmp_path):
     (tmp_path / "s.csv").write_text("supplier_id,name,reliability_score,lead_time_days\na,b,c,d\n")
     with pytest.raises(Exception, match="(?i)header"):
         raw.read_csv(spark, str(tmp_path / "s.csv"), ENTITIES["suppliers"].raw_schema).collect()
+
+
+def test_refused_lines_are_kept_apart(spark, data_dir, store, tmp_path):
+    """One line with a cell too many and one open quote: the others are loaded, both are reported."""
+    suppliers = ["supplier_id,name,lead_time_days,reliability_score", "S1,Acme,3,90.5", "S2,b,1,2,EXTRA",
+                 'S3,"open', "S4,short", 'S5,"x,""1",2,3', 'S6,a,b,"c,d,e"",f']
+    (tmp_path / "erp_suppliers.csv").write_text("\n".join(suppliers) + "\n")
+    paths = raw.default_paths(data_dir)
+    phases.load(spark, store, {"suppliers": f"{data_dir}/erp_suppliers.csv"}, max_rejected=None)
+    with pytest.raises(TooManyRejects, match="suppliers: 3 of 6 rows.*EXTRA"):
+        phases.load(spark, store, paths, max_rejected=2)
+    assert store.read("raw", "suppliers").count() == 3, "as it was"
+    loaded = phases.load(spark, store, paths, max_rejected=0.5)
+    assert {r.table_name: r.row_count for r in loaded.collect()}["suppliers"] == 3
+    assert sorted(tuple(r) for r in store.read("raw", "suppliers").collect()) == [
+        ("S1", "Acme", "3", "90.5"), ("S4", "short", None, None), ("S5", 'x,"1', "2", "3")]
+    assert spark.table("raw.suppliers").columns == suppliers[0].split(",")
+    told = {(r.line, r.reason) for r in store.rejects("raw_rejects", raw.LINE_REJECTS).collect()}
+    assert told == {(suppliers[2], "too many cells"), (suppliers[3], "unclosed quote"),
+                    (suppliers[6], "unclosed quote")}
+    rows = spark.sql("SELECT table_name, source_file, line FROM governance.raw_rejects").collect()
+    assert len(rows) == 3 and {r.table_name for r in rows} == {"suppliers"}
+    assert all(r.source_file.endswith("erp_suppliers.csv") for r in rows)
+
+    phases.load(spark, store, paths, "append", max_rejected=None)
+    assert store.read("raw", "suppliers").count() == 6
+    assert store.rejects("raw_rejects", raw.LINE_REJECTS).count() == 6
+    (tmp_path / "erp_suppliers.csv").write_text("\n".join(suppliers[:2]) + "\n")
+    phases.load(spark, store, paths)
+    assert store.rejects("raw_rejects", raw.LINE_REJECTS).count() == 0, "replaced with the load"
+
+
+def test_staging_rejects(spark, data_dir, store, tmp_path):
+    """Wrong dates, numbers and keys by row and reason; the rest is staged."""
+    header = CSV["purchase_orders"][0]
+    (tmp_path / "erp_purchase_orders.csv").write_text("\n".join([
+        header, "P1,S1,K,5,02-01-2025,03-01-2025,Pending", "P2,S1,K,7d,02-01-2025,,Pending",
+        ",S1,K,1,02-01-2025,,Pending", "P3,S1,K,1,,,Pending", "P3,S1,K,2.12345678901,,,Pending"]) + "\n")
+    phases.load(spark, store, raw.default_paths(data_dir))
+    with pytest.raises(TooManyRejects, match="purchase_orders: 4 of 5 rows"):
+        phases.run_standardize(store, max_rejected=3)
+    lost = {(r.table_name, r.column): r.lost
+            for r in store.read("governance", "staging_lost_casts").collect()}
+    assert lost["purchase_orders", "qty_ordered"] == 2
+    out = phases.run_standardize(store, max_rejected=0.8)
+    assert [r.purchase_order_id for r in out["purchase_orders"].collect()] == ["P1"]
+    assert out["products"].count() == 3 and out["inventory"].count() == 3
+    found = sorted(tuple(r)[2:] for r in out["staging_rejects"].collect())
+    assert found == [
+        ("", "purchase_order_id", None, "key is null"),
+        ("P2", "qty_ordered", "7d", "no decimal(38,10)"),
+        ("P3", "purchase_order_id", "P3", "key is repeated"),
+        ("P3", "purchase_order_id", "P3", "key is repeated"),
+        ("P3", "qty_ordered", "2.12345678901", "not exact as decimal(38,10)")]
+    assert spark.table("governance.staging_rejects").count() == 5
+
+
+def test_counters_come_from_the_writes(spark, data_dir, store, tmp_path):
+    """No job of load and standardize scans a table only to count it."""
+    loaded = phases.load(spark, store, raw.default_paths(data_dir))
+    assert not loaded.inputFiles(), "a local relation"
+    out = phases.run_standardize(store)
+    frames = phases.raw_frames(store)
+    audit = store.read("governance", "staging_products")
+    assert sorted(map(tuple, out["remediation_summary"].collect())) == sorted(
+        map(tuple, report.remediation_summary(audit, frames).collect()))
+    rows = store.write_raw(frames)
+    assert not rows.inputFiles() and {r[0]: r[1] for r in rows.collect()} == {
+        n: len(lines) - 1 for n, lines in CSV.items()}

@@ -22,7 +22,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--append", action="store_true", help="add to the raw tables")
     parser.add_argument("--multi-line", action="store_true", help="quoted cells hold line breaks")
     parser.add_argument("--strict", action="store_true", help="refuse lines of another length")
+    parser.add_argument("--max-rejected", type=float, default=0,
+                        help="rows a table may reject (a share if below 1, any number if negative)")
     args = parser.parse_args(argv)
+    allowed = None if args.max_rejected < 0 else args.max_rejected
 
     spark = build_session("veritable")
     store = Store(spark, args.root)
@@ -32,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     if "load" in wanted:
         phases.load(
             spark, store, default_paths(args.data), "append" if args.append else "overwrite",
-            args.multi_line, "FAILFAST" if args.strict else "PERMISSIVE").show(truncate=False)
+            args.multi_line, "FAILFAST" if args.strict else "PERMISSIVE", allowed).show(truncate=False)
     if "profile" in wanted:
         tables = phases.run_profile(store, reports)
         for name in ("null_offenders", "duplicate_checks", "fk_checks", "prefix_distribution",
@@ -43,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
         tables["quality_scorecard"].show(truncate=False)
         tables["quality_scorecard_domain"].show(truncate=False)
     if "standardize" in wanted:
-        phases.run_standardize(store, reports)["remediation_summary"].show(truncate=False)
+        phases.run_standardize(store, reports, allowed)["remediation_summary"].show(truncate=False)
     # The report is drawn from the exact rules' tables.
     if "report" in wanted and (args.phase == "report" or args.ruleset == "sql"):
         phases.run_report(store, reports)["report_headline"].show(truncate=False, vertical=True)

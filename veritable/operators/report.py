@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritable.functions import dates, text
@@ -71,40 +71,64 @@ def drill_through(
     return keyed.attach(source, broken, [record_id], "inner")
 
 
+Issues = Mapping[str, tuple[Column, Column]]
+
+
+def issues_of(table: str) -> Issues:
+    """Per kind of issue of an audited table: which rows have it, and which of these are resolved."""
+    if table == "products":
+        return {
+            "non-canonical category": (
+                text.differs_from_title(F.col("category")),
+                ~text.differs_from_title(F.col("category_clean")),
+            ),
+            "null category": (F.col("category").isNull(), F.col("category_clean").isNotNull()),
+            "non-standard sku prefix": (
+                F.col("sku") != F.col("sku_clean"), F.col("sku_clean").isNotNull()),
+            "null price": (F.col("price").isNull(), F.col("price_clean").isNotNull()),
+        }
+    return {
+        f"malformed {c}": (
+            dates.parse_fails(F.col(c), fmts[0]), dates.parse_first(F.col(c), fmts).isNotNull())
+        for c, fmts in DATE_FALLBACKS[table].items()
+    }
+
+
+def issue_metrics(issues: Issues) -> dict[str, Column]:
+    """Counters of the issues: rows affected ``a0, a1, ...`` and resolved ``r0, r1, ...``."""
+    out = {}
+    for i, (affected, resolved) in enumerate(issues.values()):
+        out |= {f"a{i}": F.count_if(affected), f"r{i}": F.count_if(affected & resolved)}
+    return out
+
+
+def summary_of_metrics(spark: SparkSession, counted: Sequence[tuple[Issues, Mapping[str, int]]]
+                       ) -> DataFrame:
+    """The remediation summary from counters that the writes of the audit tables took."""
+    rows = [(issue, values[f"a{i}"], values[f"r{i}"], values[f"a{i}"] - values[f"r{i}"])
+            for issues, values in counted for i, issue in enumerate(issues)]
+    return spark.createDataFrame(
+        rows, "issue string, affected long, resolved long, unresolved long")
+
+
 def remediation_summary(audit: DataFrame, frames: Frames) -> DataFrame:
     """Per kind of issue: records affected, resolved and left. One scan per table."""
-    products = {
-        "non-canonical category": (
-            text.differs_from_title(F.col("category")),
-            ~text.differs_from_title(F.col("category_clean")),
-        ),
-        "null category": (F.col("category").isNull(), F.col("category_clean").isNotNull()),
-        "non-standard sku prefix": (
-            F.col("sku") != F.col("sku_clean"), F.col("sku_clean").isNotNull()),
-        "null price": (F.col("price").isNull(), F.col("price_clean").isNotNull()),
-    }
-    parts = [_issues(audit, products)]
-    for table, columns in DATE_FALLBACKS.items():
-        parts.append(_issues(frames[table], {
-            f"malformed {c}": (
-                dates.parse_fails(F.col(c), fmts[0]),
-                dates.parse_first(F.col(c), fmts).isNotNull(),
-            )
-            for c, fmts in columns.items()
-        }))
+    parts = [_issues(audit, issues_of("products"))]
+    parts += [_issues(frames[table], issues_of(table)) for table in DATE_FALLBACKS]
     return union_all(parts)
 
 
-def _issues(df: DataFrame, issues: Mapping[str, tuple]) -> DataFrame:
-    aggs, rows = [], []
-    for i, (issue, (affected, resolved)) in enumerate(issues.items()):
-        aggs += [F.count_if(affected).alias(f"a{i}"), F.count_if(affected & resolved).alias(f"r{i}")]
-        rows.append(F.struct(
+def _issues(df: DataFrame, issues: Issues) -> DataFrame:
+    rows = [
+        F.struct(
             F.lit(issue).alias("issue"), F.col(f"a{i}").alias("affected"),
             F.col(f"r{i}").alias("resolved"),
             (F.col(f"a{i}") - F.col(f"r{i}")).alias("unresolved"),
-        ))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+        )
+        for i, issue in enumerate(issues)
+    ]
+    return df.agg(*[c.alias(n) for n, c in issue_metrics(issues).items()]).select(
+        F.inline(F.array(*rows)))
 
 
 def review_queue(frames: Frames, audit: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veritable.functions import dates, text
 from veritable.functions.numbers import to_number
@@ -62,13 +63,52 @@ def infer_category(name: Column, keywords: Mapping[str, str]) -> Column:
     return F.coalesce(*[F.when(lowered.contains(k), F.lit(c)) for k, c in keywords.items()])
 
 
+def infer_by_table(names: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``name`` (distinct, lower-cased) and a table of ``keyword, category, priority`` → ``name, category``.
+
+    The category is that of the keyword of least priority (ties: the first in order) among those that
+    occur anywhere in the name. Names are cut into their substrings of the lengths that keywords have,
+    and these meet the keywords in an equi-join, so a name costs its own length however many keywords
+    there are. The lengths are one small array; an empty keyword occurs in every name.
+    """
+    lengths = keywords.agg(F.collect_set(F.length("keyword"))).scalar()
+    longest = F.length("name")
+    pieces = F.array_distinct(F.flatten(F.transform("lengths", lambda size: F.transform(
+        F.sequence(F.lit(1), F.greatest(longest - size + 1, F.lit(1))),
+        lambda at: F.substr(F.col("name"), at, size)))))
+    cut = names.withColumn("lengths", lengths).select("name", F.explode(pieces).alias("keyword"))
+    return cut.join(keywords, "keyword").groupBy("name").agg(
+        F.min_by("category", F.struct("priority", "keyword")).alias("category"))
+
+
+def keyword_table(spark: SparkSession, keywords: Mapping[str, str]) -> DataFrame:
+    """An ordered keyword map as the table that ``infer_by_table`` takes."""
+    rows = [(k, c, i) for i, (k, c) in enumerate(keywords.items())]
+    return spark.createDataFrame(rows, "keyword string, category string, priority long")
+
+
 def standardize_categories(
-    products: DataFrame, keywords: Mapping[str, str] = CATEGORY_KEYWORDS
+    products: DataFrame, keywords: Mapping[str, str] | DataFrame = CATEGORY_KEYWORDS
 ) -> DataFrame:
-    """Add ``category_clean``: trimmed and title-cased, or inferred where it was NULL."""
+    """Add ``category_clean``: trimmed and title-cased, or inferred where it was NULL.
+
+    A map of keywords becomes one expression, for the few keywords of a rule book; a table of any
+    size (``infer_by_table``) is joined with the distinct names of products without a category.
+    """
     cleaned = text.title(text.strip(F.col("category")))
-    inferred = infer_category(F.col("product_name"), keywords)
-    return products.withColumn("category_clean", F.coalesce(cleaned, inferred))
+    if not isinstance(keywords, DataFrame):
+        inferred = infer_category(F.col("product_name"), keywords)
+        return products.withColumn("category_clean", F.coalesce(cleaned, inferred))
+    missing = products.where("category IS NULL")
+    names = missing.where("product_name IS NOT NULL").select(
+        F.lower("product_name").alias("name")).distinct()
+    found = written(infer_by_table(names, keywords), "inferred")
+    guessed = keyed.attach(
+        missing.withColumn("_lowered", F.lower("product_name")),
+        found.select(F.col("name").alias("_lowered"), F.col("category").alias("category_clean")),
+        ["_lowered"], "left").drop("_lowered")
+    known = products.where("category IS NOT NULL").withColumn("category_clean", cleaned)
+    return known.unionByName(guessed)
 
 
 # --- key prefix -----------------------------------------------------------------------
@@ -168,6 +208,31 @@ def exact_medians(
     return middle.groupBy(group).agg(((F.min(value) + F.max(value)) / 2).alias("median"))
 
 
+#: Size of a quantile sketch. The rank of a sketched median is off by 1.65 % of the rows at most, in 99 %
+#: of cases, at 200; twice the size halves that.
+SKETCH_K = 200
+
+
+def median_sketches(df: DataFrame, group: str, value: str, k: int = SKETCH_K) -> DataFrame:
+    """``group, n, sketch``: a quantile sketch per non-NULL group, which later loads can be added to.
+
+    One partial aggregation: a task sends one sketch per group however many rows it has, while
+    ``exact_medians`` shuffles the distinct values. For medians that may be off by a stated rank.
+    """
+    present = df.select(group, F.col(value).cast("double").alias("_v")).where(
+        F.col(group).isNotNull() & F.col("_v").isNotNull())
+    return present.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("_v", F.lit(k)).alias("sketch"))
+
+
+def sketched_medians(sketches: DataFrame, group: str) -> DataFrame:
+    """Medians of ``median_sketches`` of any number of loads."""
+    merged = sketches.groupBy(group).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(
+        group, "n", F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))
+
+
 def category_medians(products: DataFrame) -> DataFrame:
     """Median price per clean category. NULL categories have none."""
     priced = products.withColumn("price", to_number(F.col("price")))
@@ -184,16 +249,23 @@ def impute_price(products: DataFrame, medians: DataFrame) -> DataFrame:
 
 def standardize_products(
     products: DataFrame,
-    keywords: Mapping[str, str] = CATEGORY_KEYWORDS,
+    keywords: Mapping[str, str] | DataFrame = CATEGORY_KEYWORDS,
     prefix: str = CANONICAL_PREFIX,
+    sketch_k: int | None = None,
 ) -> DataFrame:
     """The product audit frame: raw columns, then category, key and price made clean.
 
-    The medians are written first, so that Spark knows their size when it plans the join: one
+    Medians are exact unless ``sketch_k`` asks for sketches of that size. The medians are written first, so that Spark knows their size when it plans the join: one
     row per category is broadcast and the products are not shuffled.
     """
     tagged = standardize_sku_prefix(standardize_categories(products, keywords), prefix)
-    medians = written(category_medians(tagged), "category_medians")
+    if sketch_k:
+        sketches = median_sketches(
+            tagged.withColumn("price", to_number(F.col("price"))), "category_clean", "price", sketch_k)
+        medians = sketched_medians(sketches, "category_clean").drop("n")
+    else:
+        medians = category_medians(tagged)
+    medians = written(medians, "category_medians")
     return impute_price(tagged, medians).select(
         *products.columns, "category_clean", "sku_clean", "price_clean")
 
@@ -265,34 +337,86 @@ def all_date_recovery_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 def to_staging(df: DataFrame, entity: Entity) -> DataFrame:
     """The entity's columns under their staging types; text that does not fit becomes NULL."""
-    return df.select(*[
-        F.col(c).try_cast(entity.typed[c]).alias(c) if c in entity.typed else F.col(c)
-        for c in entity.columns
-    ])
+    return df.select(*[c.alias(name) for name, c in staged_columns(entity).items()])
 
 
 def lost_casts(df: DataFrame, entity: Entity) -> DataFrame:
     """Per typed column, how many values ``to_staging`` would turn into NULL or round."""
-    lost = [F.count_if(_inexact(df, c, t)).alias(c) for c, t in entity.typed.items()]
-    return df.agg(*lost).unpivot([], list(entity.typed), "column", "lost")
+    return df.agg(*[c.alias(n) for n, c in lost_counts(df, entity).items()]).unpivot(
+        [], list(entity.typed), "column", "lost")
+
+
+def lost_counts(df: DataFrame, entity: Entity) -> dict[str, Column]:
+    """The aggregates of ``lost_casts``, for a job that writes ``df`` to compute on its way."""
+    return {c: F.count_if(_inexact(df, c, t)) for c, t in entity.typed.items()}
+
+
+def _altered(df: DataFrame, column: str, typed: str) -> Column:
+    """Whether a value that can be cast comes out as another. Plain digits are compared as text."""
+    value, cast = F.col(column), F.col(column).try_cast(typed)
+    if not typed.startswith("decimal"):
+        return F.lit(False)
+    wide, scale = map(int, re.findall("[0-9]+", typed))
+    altered = cast.cast("double") != value.try_cast("double")
+    if dict(df.dtypes)[column] == "string":
+        plain = rf"^\s*[+-]?0*[0-9]{{0,{wide - scale}}}(?:\.[0-9]{{0,{scale}}}0*)?\s*$"
+        altered = ~value.rlike(plain) & (~F.lower(value).contains("e") | altered)
+    return altered
 
 
 def _inexact(df: DataFrame, column: str, typed: str) -> Column:
-    """Whether a value is lost or altered by its type. Plain digits are compared as text."""
+    """Whether a value is lost or altered by its type."""
     value, cast = F.col(column), F.col(column).try_cast(typed)
-    altered = F.lit(False)
-    if typed.startswith("decimal"):
-        wide, scale = map(int, re.findall("[0-9]+", typed))
-        altered = cast.cast("double") != value.try_cast("double")
-        if dict(df.dtypes)[column] == "string":
-            plain = rf"^\s*[+-]?0*[0-9]{{0,{wide - scale}}}(?:\.[0-9]{{0,{scale}}}0*)?\s*$"
-            altered = ~value.rlike(plain) & (~F.lower(value).contains("e") | altered)
-    return value.isNotNull() & (cast.isNull() | altered)
-
-
-def assert_no_lost_casts(report: DataFrame) -> None:
-    """Stop when a staging column would lose or round a value."""
-    bad = report.where("lost > 0").limit(20).collect()
-    if bad:
-        found = ", ".join(f"{r.table_name}.{r.column}: {r.lost}" for r in bad)
-        raise ValueError(f"values that do not fit their staging types: {found}")
+    return value.isNotNull() & (cast.isNull() | _altered(df, column, typed))
+
+
+#: Staging tables whose key must be there and unique.
+PRIMARY_KEYS = ("products", "purchase_orders")
+#: What ``governance.staging_rejects`` says of a row that staging cannot take; one row per reason.
+STAGING_REJECTS = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("key", "column", "raw_value", "reason")])
+
+
+def with_repeats(df: DataFrame, entity: Entity, unique: bool = True) -> DataFrame:
+    """Mark the rows whose primary key other rows have too (``_repeated``).
+
+    Keys are counted first; unless some are repeated, no row is joined.
+    """
+    repeated = None
+    if unique:
+        known = " AND ".join(f"`{k}` IS NOT NULL" for k in entity.key)
+        repeated = written(key_problems(df, entity.key).where(known).select(*entity.key), "repeated")
+    if repeated is None or not repeated.head(1):
+        return df.withColumn("_repeated", F.lit(False))
+    marked = keyed.attach(df, repeated.withColumn("_again", F.lit(True)), entity.key, "left")
+    return marked.withColumn("_repeated", F.coalesce("_again", F.lit(False))).drop("_again")
+
+
+def staging_faults(df: DataFrame, entity: Entity, unique: bool = True) -> Column:
+    """All reasons why staging cannot take a row of ``with_repeats``; an empty array if it can.
+
+    A typed value that its type cannot hold, and for a table with a primary key (``unique``) a NULL
+    in it, or a key that several rows have: which of these is right is not known here, so none is
+    taken.
+    """
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in entity.key])
+
+    def fault(column: str, reason: str, wrong: Column) -> Column:
+        return F.when(wrong, F.struct(
+            key.alias("key"), F.lit(column).alias("column"),
+            F.col(column).cast("string").alias("raw_value"), F.lit(reason).alias("reason")))
+
+    faults = []
+    if unique:
+        faults += [fault(k, "key is null", F.col(k).isNull()) for k in entity.key]
+        faults.append(fault(entity.key[0], "key is repeated", F.col("_repeated")))
+    for c, typed in entity.typed.items():
+        unread = F.col(c).isNotNull() & F.col(c).try_cast(typed).isNull()
+        faults.append(fault(c, f"no {typed}", unread))
+        faults.append(fault(c, f"not exact as {typed}", ~unread & _altered(df, c, typed)))
+    return F.filter(F.array(*faults), lambda f: f.isNotNull())
+
+
+def staged_columns(entity: Entity) -> dict[str, Column]:
+    return {c: F.col(c).try_cast(entity.typed[c]) if c in entity.typed else F.col(c)
+            for c in entity.columns}

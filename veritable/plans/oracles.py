@@ -420,6 +420,38 @@ def _staged(table: str) -> str:
     return f"SELECT {', '.join(columns)} FROM {table}"
 
 
+_TAIL = "right(sku, 2)"
+_LINE = ("sku || ',' || CASE WHEN {tail} IN ('57', '91') THEN '\"' ELSE '' END || product_name || ',' || "
+         "coalesce(category, '') || ',' || coalesce(price, '') || ',' || coalesce(supplier_id, '') || "
+         "CASE WHEN {tail} IN ('13', '91') THEN ',EXTRA' ELSE '' END").format(tail=_TAIL)
+RAW_REJECTS = f"""
+SELECT NULL AS line, 'loaded' AS reason, count(*) AS n FROM ({_raw('products')}) p
+WHERE {_TAIL} NOT IN ('13', '57', '91')
+UNION ALL SELECT {_LINE}, CASE {_TAIL} WHEN '13' THEN 'too many cells' ELSE 'unclosed quote' END, 1
+FROM ({_raw('products')}) p WHERE {_TAIL} IN ('13', '57', '91')"""
+
+_FAULTY = """
+SELECT *, coalesce(sku, '') || '|' || coalesce(warehouse_id, '') AS key,
+  count(*) OVER (PARTITION BY sku, warehouse_id) > 1 AS repeated,
+  last_updated IS NOT NULL AND TRY_CAST(last_updated AS DATE) IS NULL AS undated FROM inventory"""
+STAGING_REJECTS = """
+SELECT NULL AS key, NULL AS "column", NULL AS raw_value, 'staged' AS reason, count(*) AS n
+FROM faulty WHERE NOT repeated AND NOT undated
+UNION ALL SELECT key, 'sku', sku, 'key is repeated', 1 FROM faulty WHERE repeated
+UNION ALL SELECT key, 'last_updated', last_updated, 'no date', 1 FROM faulty WHERE undated"""
+
+BY_KEYWORD = f"""
+WITH pieces AS (SELECT lower(substr(p_name, CAST(1 + p_partkey % 4 AS INT),
+    CAST(3 + p_partkey % 5 AS INT))) AS keyword, p_partkey, p_brand FROM part),
+keywords AS (SELECT keyword, min(p_partkey) AS priority, arg_min(p_brand, p_partkey) AS category
+  FROM pieces GROUP BY keyword),
+named AS (SELECT name, arg_min(category, priority) AS category
+  FROM (SELECT DISTINCT lower(product_name) AS name FROM products WHERE category IS NULL) n
+  JOIN keywords ON contains(name, keyword) GROUP BY name)
+SELECT sku, product_name, coalesce({title('p.category')}, n.category) AS category_clean
+FROM products p LEFT JOIN named n ON p.category IS NULL AND lower(p.product_name) = n.name"""
+
+
 def oracle_sql() -> dict[str, str]:
     grouped = "SELECT dimension, count(*) AS n FROM ({log}) l GROUP BY dimension"
     share = half_up("(100 * violation_count)", "total", 100)
@@ -450,6 +482,16 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT table_name, 2 * row_count AS row_count FROM ({ROWS}) r"),
         "raw_reset": with_tables(ROWS),
         "registry_scan": with_tables(CELLS),
+        "raw_rejects": with_tables(RAW_REJECTS),
+        "staging_rejects": with_tables(STAGING_REJECTS, faulty=_FAULTY),
+        "category_by_keyword_table": with_tables(f"SELECT * FROM ({BY_KEYWORD}) k"),
+        "category_medians_sketched": with_tables(
+            "SELECT category_clean, count(*) AS n, true AS close FROM tagged "
+            "WHERE category_clean IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NOT NULL "
+            "GROUP BY category_clean", tagged=TAGGED),
+        "profile_merged": with_tables(
+            f"SELECT * EXCLUDE (distinct_count), true AS distinct_close FROM ({COLUMN_PROFILE}) c"),
+        "history_rerun": with_tables("SELECT * FROM history", **HISTORY_STEPS),
         "layers": with_tables(_union(
             f"SELECT '{layer}' AS layer, count(*) AS row_count, "
             f"count(DISTINCT category) AS categories FROM products WHERE {where}"

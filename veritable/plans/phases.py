@@ -17,7 +17,7 @@ from veritable.operators import evaluate, profile, report, rules, score, standar
 from veritable.operators.evaluate import union_all
 from veritable.sources import raw
 from veritable.sources.schemas import ENTITIES
-from veritable.sources.tables import Store, write_csv
+from veritable.sources.tables import Store, TooManyRejects, write_csv
 
 
 def prepare(store: Store) -> None:
@@ -29,10 +29,25 @@ def prepare(store: Store) -> None:
 
 def load(
     spark: SparkSession, store: Store, paths: Mapping[str, str], mode: str = "overwrite",
-    multi_line: bool = False, parse_mode: str = "PERMISSIVE",
+    multi_line: bool = False, parse_mode: str = "PERMISSIVE", max_rejected: float | None = 0,
 ) -> DataFrame:
-    """CSV files → raw tables. Returns rows per table. The scan's options are those of ``read_csv``."""
-    return store.write_raw(raw.read_all(spark, paths, multi_line, parse_mode), mode)
+    """CSV files → raw tables. Returns rows per table. The scan's options are those of ``read_csv``.
+
+    A line that would lose cells goes to ``governance.raw_rejects`` with its reasons, in the pass that
+    stores the other lines. More such lines in a file set than ``max_rejected`` (a share if below 1,
+    any number if None) stop the run before that table is touched.
+    """
+    if parse_mode != "PERMISSIVE":
+        return store.write_raw(raw.read_all(spark, paths, multi_line, parse_mode), mode)
+    rows = {}
+    for name, path in paths.items():
+        schema = ENTITIES[name].raw_schema
+        before = store.stored_rows("raw", name) if mode == "append" else 0
+        split = store.write_split(
+            raw.read_lines(spark, path, schema, multi_line), "raw", name, raw.line_faults(schema),
+            "raw_rejects", {c: F.col(c) for c in schema.names}, max_rejected, mode)
+        rows[name] = before + split.counts["rows"] - split.counts["rejected"]
+    return store.row_counts(rows)
 
 
 def raw_frames(store: Store) -> dict[str, DataFrame]:
@@ -69,6 +84,19 @@ def run_profile(store: Store, reports: str | None = None) -> dict[str, DataFrame
     return written
 
 
+def profile_load(
+    store: Store, frames: Mapping[str, DataFrame], load: str, bits: int = profile.SKETCH_BITS,
+) -> DataFrame:
+    """Profile one load and return the profile of all loads so far.
+
+    Only ``frames``, the rows of this load, are read; earlier loads come in as the sketches that they
+    left in ``governance.profile_sketches``. A load that is profiled again replaces its own sketches.
+    """
+    fresh = profile.column_sketches(frames, bits).withColumn("load", F.lit(load)).coalesce(1)
+    return profile.merged_profile(
+        store.write_parts(fresh, "governance", "profile_sketches", ["load"]))
+
+
 def run_assess(
     store: Store, reports: str | None = None, ruleset: str = "sql",
     measured_at: dt.datetime | None = None,
@@ -98,40 +126,71 @@ def run_assess(
     return {**out, "table_row_counts": rows}
 
 
-def run_standardize(store: Store, reports: str | None = None) -> dict[str, DataFrame]:
+def run_standardize(
+    store: Store, reports: str | None = None, max_rejected: float | None = 0,
+) -> dict[str, DataFrame]:
     """Raw tables → audit tables with raw and clean columns → typed staging tables.
 
-    Key collisions, broken primary keys and values that their staging types would lose or round
-    stop the run before a staging table is written; the lost casts are reported first.
+    Key collisions of the prefix rewrite stop the run. Rows with a broken primary key, or with a value
+    that its staging type would lose or round, go to ``governance.staging_rejects`` with all reasons,
+    in the pass that stores the other rows; more of them in a table than ``max_rejected`` (a share if
+    below 1, any number if None) stop the run before that staging table is touched. Counters of issues
+    and of lost values come from the jobs that write.
     """
-    frames = raw_frames(store)
+    frames, spark = raw_frames(store), store.spark
     audit = {"products": standardize.standardize_products(frames["products"])}
     standardize.assert_no_collisions(audit["products"])
     for table in standardize.DATE_FALLBACKS:
         audit[table] = standardize.standardize_table_dates(frames[table], table)
-    audit = {t: store.write(df, "governance", f"staging_{t}") for t, df in audit.items()}
+    counted = []
+    for table, df in audit.items():
+        issues = report.issues_of(table)
+        audit[table], values = store.write_counted(
+            df, "governance", f"staging_{table}", report.issue_metrics(issues))
+        counted.append((issues, values))
 
     final = {"products": standardize.final_products(audit["products"])}
     for table in standardize.DATE_FALLBACKS:
         final[table] = standardize.final_dates(audit[table], table)
-    for table in ("products", "purchase_orders"):
-        standardize.assert_key(final[table], ENTITIES[table].key)
-    lost = store.write(union_all([
-        standardize.lost_casts(df, ENTITIES[t]).select(F.lit(t).alias("table_name"), "column", "lost")
-        for t, df in final.items()]), "governance", "staging_lost_casts")
-    standardize.assert_no_lost_casts(lost)
-    out = {"staging_lost_casts": lost}
-    for table, df in final.items():
-        out[table] = store.write(
-            standardize.to_staging(df, ENTITIES[table]), "staging", table)
+    out: dict[str, DataFrame] = {}
+    lost: list[tuple] = []
+    try:
+        for table, df in final.items():
+            out[table] = _stage(store, table, df, max_rejected, lost)
+    finally:
+        out["staging_lost_casts"] = store.write(
+            spark.createDataFrame(lost, "table_name string, column string, lost long"),
+            "governance", "staging_lost_casts")
     _write_reports({f"staging_{t}": df for t, df in audit.items()}, reports)
     _write_reports({"staging_products_final": final["products"]}, reports)
+    out["staging_rejects"] = store.rejects("staging_rejects", standardize.STAGING_REJECTS)
     out["remediation_summary"] = store.write(
-        report.remediation_summary(audit["products"], frames),
-        "governance", "remediation_summary")
+        report.summary_of_metrics(spark, counted), "governance", "remediation_summary")
     return out
 
 
+def _stage(
+    store: Store, table: str, df: DataFrame, max_rejected: float | None, lost: list[tuple],
+) -> DataFrame:
+    """One staging table and its rejects; what its types would lose is added to ``lost``."""
+    entity = ENTITIES[table]
+    unique = table in standardize.PRIMARY_KEYS
+    counts = {}
+    try:
+        split = store.write_split(
+            standardize.with_repeats(df, entity, unique), "staging", table,
+            standardize.staging_faults(df, entity, unique), "staging_rejects",
+            standardize.staged_columns(entity), max_rejected,
+            metrics={f"lost_{c}": n for c, n in standardize.lost_counts(df, entity).items()})
+        counts = split.counts
+    except TooManyRejects as error:
+        counts = error.counts
+        raise
+    finally:
+        lost += [(table, c, counts[f"lost_{c}"]) for c in entity.typed if f"lost_{c}" in counts]
+    return split.accepted
+
+
 def run_report(store: Store, reports: str | None = None) -> dict[str, DataFrame]:
     """The report's tables, from what ``run_assess`` (exact rules) and ``run_standardize`` wrote."""
     def stored(name: str) -> DataFrame:

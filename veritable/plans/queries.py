@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 from veritable.functions import dates, text
 from veritable.operators import evaluate, profile, report, rules, score, standardize
 from veritable.operators.evaluate import Frames
+from veritable.plans import phases
 from veritable.sources.fixtures import FIXTURE_KEYWORDS, FIXTURES, DirtyFrames, unnormalized
-from veritable.sources.raw import default_paths, normalize_nulls, read_all, read_csv
+from veritable.sources.raw import (
+    default_paths,
+    line_faults,
+    normalize_nulls,
+    read_all,
+    read_csv,
+    read_lines,
+)
 from veritable.sources.schemas import ENTITIES
 from veritable.sources.scratch import new_path, written
 from veritable.sources.tables import Store, write_csv
@@ -130,6 +138,44 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
                      f"SELECT 'staging' AS layer, {counted} FROM staging.products")
 
 
+def raw_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product lines of which some have a cell too many or an open quote: the rejects by line and
+    reason, and the number of lines loaded."""
+    columns = ENTITIES["products"].columns
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    tail = F.right("sku", F.lit(2))
+    cells[1] = F.when(tail.isin("57", "91"), F.concat(F.lit('"'), cells[1])).otherwise(cells[1])
+    extra = F.when(tail.isin("13", "91"), ",EXTRA").otherwise("")
+    line = F.concat(F.concat_ws(",", *cells), extra)
+    path = new_path(spark, "lines")
+    unnormalized(spark, sf_dir, "products").select(line.alias(",".join(columns))).write.csv(
+        path, header=True, quote="\u0000", sep="\u0001", ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False)
+    store = Store(spark, new_path(spark, "store"), register=False)
+    schema = ENTITIES["products"].raw_schema
+    split = store.write_split(
+        read_lines(spark, path, schema), "raw", "products", line_faults(schema), "raw_rejects",
+        {c: F.col(c) for c in columns}, max_rejected=None)
+    loaded = split.accepted.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(None).cast("string").alias("line"), F.lit("loaded").alias("reason"), "n")
+    return loaded.unionByName(split.rejects.select("line", "reason", F.lit(1).alias("n")))
+
+
+def staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw inventory into staging, keyed by key and warehouse: wrong dates and repeated keys."""
+    entity = ENTITIES["inventory"]
+    store = Store(spark, new_path(spark, "store"), register=False)
+    rows = standardize.with_repeats(DirtyFrames(spark, sf_dir)["inventory"], entity)
+    split = store.write_split(
+        rows, "staging", "inventory", standardize.staging_faults(rows, entity), "staging_rejects",
+        standardize.staged_columns(entity), max_rejected=0.9)
+    staged = split.accepted.agg(F.count(F.lit(1)).alias("n")).select(
+        *[F.lit(None).cast("string").alias(c) for c in ("key", "column", "raw_value")],
+        F.lit("staged").alias("reason"), "n")
+    return staged.unionByName(
+        split.rejects.select("key", "column", "raw_value", "reason", F.lit(1).alias("n")))
+
+
 # --- values that the plain fixtures lack -----------------------------------------------
 
 
@@ -275,6 +321,50 @@ def staging_lost_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def category_by_keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories from a table of keywords: pieces of the parts' names, the first part's piece first."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    piece = F.substr(F.col("p_name"), (1 + F.col("p_partkey") % 4).cast("int"),
+                     (3 + F.col("p_partkey") % 5).cast("int"))
+    keywords = part.select(F.lower(piece).alias("keyword"), "p_partkey", "p_brand").groupBy(
+        "keyword").agg(F.min("p_partkey").alias("priority"),
+                       F.min_by("p_brand", "p_partkey").alias("category"))
+    products = DirtyFrames(spark, sf_dir)["products"]
+    return standardize.standardize_categories(products, written(keywords, "keywords")).select(
+        "sku", "product_name", "category_clean")
+
+
+def category_medians_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians from the sketches of two loads: rows, and whether the rank is within 3 % of them."""
+    tagged = _tagged(DirtyFrames(spark, sf_dir)).withColumn("price", F.col("price").try_cast("double"))
+    even = F.right("sku", F.lit(1)).isin("0", "2", "4", "6", "8")
+    loads = [written(standardize.median_sketches(df, "category_clean", "price"), "sketches")
+             for df in (tagged.where(even), tagged.where(~even))]
+    medians = written(
+        standardize.sketched_medians(evaluate.union_all(loads), "category_clean"), "medians")
+    below, upto = (F.count_if(F.col("price") < F.col("median")),
+                   F.count_if(F.col("price") <= F.col("median")))
+    n = F.max("n")
+    return tagged.join(medians, "category_clean").groupBy("category_clean").agg(
+        n.alias("n"), ((below <= 0.53 * n) & (upto >= 0.47 * n)).alias("close"))
+
+
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of two loads, the second added without reading the first."""
+    frames = DirtyFrames(spark, sf_dir)
+    store = Store(spark, new_path(spark, "store"), register=False)
+    for load in (0, 1):
+        part = {t: df.where(F.pmod(F.hash(df.columns[0]), F.lit(2)) == load)
+                for t, df in frames.items()}
+        merged = phases.profile_load(store, part, f"load-{load}")
+    exact = profile.column_profile(frames).select(
+        "table", "column", F.col("distinct_count").alias("exact"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.08 * F.col("exact")
+    return merged.join(exact, ["table", "column"]).select(
+        "table", "column", "row_count", "null_count", "null_pct", "whitespace_dirty_count",
+        close.alias("distinct_close"))
+
+
 # --- reports --------------------------------------------------------------------------
 
 
@@ -300,6 +390,17 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
         score.history_snapshot(sql_card(_remediated(frames)), SECOND_RUN))
 
 
+def history_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first run appended twice and the second once: one snapshot of each."""
+    frames = DirtyFrames(spark, sf_dir)
+    store = Store(spark, new_path(spark, "store"), register=False)
+    for when, card in ((FIRST_RUN, sql_card(frames)), (FIRST_RUN, sql_card(frames)),
+                       (SECOND_RUN, sql_card(_remediated(frames)))):
+        kept = store.append_history(score.history_snapshot(card, when))
+    return as_double(kept, "quality_score").withColumn(
+        "measured_at", F.date_format("measured_at", "yyyy-MM-dd"))
+
+
 def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(history(spark, sf_dir), "quality_score").drop("measured_at")
 
@@ -338,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "raw_append": raw_append,
     "raw_reset": raw_reset,
     "registry_scan": registry_scan,
+    "raw_rejects": raw_rejects,
     "layers": layers,
     "table_row_counts": over_frames(score.row_counts),
     # rules, one row per record
@@ -381,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "cell_domain": over_frames(lambda f: score.cell_domain_scorecard(cell_card(f))),
     # profiling
     "column_profile": over_frames(profile.column_profile),
+    "profile_merged": profile_merged,
     "null_offenders": over_frames(
         lambda f: profile.null_offenders(profile.column_profile(f))),
     "duplicate_checks": over_frames(profile.duplicate_checks),
@@ -395,6 +498,8 @@ QUERIES: dict[str, Query] = {
     "category_inferred": over_frames(
         lambda f: _tagged(f).filter("category IS NULL")
         .select("sku", "product_name", "category_clean")),
+    "category_by_keyword_table": category_by_keyword_table,
+    "category_medians_sketched": category_medians_sketched,
     "category_medians": over_frames(lambda f: standardize.category_medians(_tagged(f))),
     "sku_clean": over_frames(
         lambda f: standardize.standardize_sku_prefix(f["products"]).select("sku", "sku_clean")),
@@ -410,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "staging_key_check": staging_key_check,
     "staging_wide_numbers": staging_wide_numbers,
     "staging_lost_casts": staging_lost_casts,
+    "staging_rejects": staging_rejects,
     "staging_typed_products": staging_typed_products,
     "staging_typed_po": _staging("purchase_orders"),
     "staging_typed_inventory": _staging("inventory"),
@@ -430,5 +536,6 @@ QUERIES: dict[str, Query] = {
     # sinks
     "sink_roundtrip": sink_roundtrip,
     "history_append": history_append,
+    "history_rerun": history_rerun,
     "score_trend": score_trend,
 }

@@ -6,12 +6,14 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution broadcasts by measured size and splits hot keys; both are defaults, stated
 # here because the joins rely on them. The query context would record a Python call site for
-# each of the many small expressions of a rule.
+# each of the many small expressions of a rule. Two open files let a task that parts good rows from
+# rejects write both without sorting its rows first.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,34 +18,59 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[null_if_token(c) for c in df.columns])
 
 
-_WHOLE_LINE = "_whole_line"
+_WHOLE_LINE, _FILE = "_whole_line", "_file"
+#: What ``governance.raw_rejects`` says of a line that would lose cells.
+LINE_REJECTS = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("source_file", "line", "reason")])
 
 
-def _accepted(schema: T.StructType):
-    """True, or an error that quotes the line. Spark keeps the text of lines of another length."""
-    line, first = F.col(_WHOLE_LINE), F.col(f"`{schema.names[0]}`")
+def _lossy(schema: T.StructType) -> dict[str, Column]:
+    """Faults of a line that would lose cells. Spark keeps the text of lines of another length."""
+    line = F.col(_WHOLE_LINE)
     extra = ", ".join(f"`{name}` string" for name in [*schema.names, "_extra"])
-    longer = F.from_csv(line, extra, {"escape": '"'})["_extra"].isNotNull()
-    open_quote = F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+    return {
+        "too many cells": F.from_csv(line, extra, {"escape": '"'})["_extra"].isNotNull(),
+        "unclosed quote": F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1,
+    }
+
+
+def _accepted(schema: T.StructType) -> Column:
+    """True, or an error that quotes the line."""
+    line, first = F.col(_WHOLE_LINE), F.col(f"`{schema.names[0]}`")
     told = F.raise_error(F.concat_ws(" ", F.lit("malformed line of"), first, F.lit(":"), line))
-    return F.when(line.isNotNull() & (longer | open_quote), told.cast("boolean")).otherwise(
+    lossy = reduce(lambda a, b: a | b, _lossy(schema).values())
+    return F.when(line.isNotNull() & lossy, told.cast("boolean")).otherwise(
         F.coalesce(first, F.lit("")).isNotNull())
 
 
-def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType,
-    multi_line: bool = False, mode: str = "PERMISSIVE",
+def line_faults(schema: T.StructType) -> Column:
+    """All reasons why a line of ``read_lines`` cannot be taken; an empty array if it can."""
+    faults = [
+        F.when(F.col(_WHOLE_LINE).isNotNull() & lossy, F.struct(
+            F.col(_FILE).alias("source_file"), F.col(_WHOLE_LINE).alias("line"),
+            F.lit(reason).alias("reason")))
+        for reason, lossy in _lossy(schema).items()
+    ]
+    return F.filter(F.array(*faults), lambda f: f.isNotNull())
+
+
+def read_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False,
 ) -> DataFrame:
-    """Scan CSV files that have a header line; quotes inside a value are doubled.
+    """Every line as cells, with its text if it has another length and the file that it is from.
 
-    The header must name the schema's columns, else the scan fails. Files stay splittable
-    unless ``multi_line`` says that quoted values hold line breaks. A short line is filled with
-    NULLs; ``mode="FAILFAST"`` refuses lines with another number of cells. A line with too many
-    cells, or with a quote that the line does not close, is refused in any mode, since parts of it
-    would be lost.
+    For ``Store.write_split`` with ``line_faults``: good rows and refused lines in one scan.
     """
+    lines = _scan(spark, path, schema, multi_line).withColumn(_FILE, F.col("_metadata.file_path"))
+    return lines.selectExpr(*[null_if_token(c) for c in schema.names], _WHOLE_LINE, _FILE)
+
+
+def _scan(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool,
+    mode: str = "PERMISSIVE",
+) -> DataFrame:
     whole = T.StructType([*schema.fields, T.StructField(_WHOLE_LINE, T.StringType())])
-    raw = (
+    return (
         spark.read.schema(whole if mode == "PERMISSIVE" else schema)
         .option("columnNameOfCorruptRecord", _WHOLE_LINE)
         .option("columnPruning", False)  # else a line is as long as the columns that are asked for
@@ -55,6 +81,21 @@ def read_csv(
         .option("mode", mode)
         .csv(path)
     )
+
+
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType,
+    multi_line: bool = False, mode: str = "PERMISSIVE",
+) -> DataFrame:
+    """Scan CSV files that have a header line; quotes inside a value are doubled.
+
+    The header must name the schema's columns, else the scan fails. Files stay splittable
+    unless ``multi_line`` says that quoted values hold line breaks. A short line is filled with
+    NULLs; ``mode="FAILFAST"`` refuses lines with another number of cells. A line with too many
+    cells, or with a quote that the line does not close, is refused in any mode, since parts of it
+    would be lost; ``read_lines`` lets such a line be put aside instead.
+    """
+    raw = _scan(spark, path, schema, multi_line, mode)
     if mode == "PERMISSIVE":
         raw = raw.where(_accepted(schema)).select(schema.names)
     return normalize_nulls(raw)

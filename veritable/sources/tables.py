@@ -11,15 +11,16 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritable.operators.evaluate import union_all
 from veritable.operators.rules import Rule, view_name
 from veritable.sources.schemas import ENTITIES
 
 LAYERS = ("raw", "staging", "governance")
+#: Good rows and rejects leave one job, hence as files with all columns; these belong to rejects.
+REJECT = "_reject_"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -43,6 +44,35 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
         files.delete(aside, True)
 
 
+def observed(df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df``, with aggregates that the job which writes it computes on its way."""
+    watch = Observation()
+    return df.observe(watch, *[c.alias(name) for name, c in metrics.items()]), watch
+
+
+def _in_files(fault: T.StructType) -> T.StructType:
+    """The columns of reject files: a fault's, then the folders' table and load."""
+    parts = [T.StructField(c, T.StringType()) for c in ("table_name", "load")]
+    return T.StructType([T.StructField(REJECT + f.name, f.dataType) for f in fault] + parts)
+
+
+class TooManyRejects(ValueError):
+    """A load rejected more rows than it may. Its rejects are stored, its target is as it was."""
+
+    def __init__(self, told: str, counts: dict[str, int]) -> None:
+        super().__init__(told)
+        self.counts = counts
+
+
+@dataclass(frozen=True)
+class Split:
+    """What a split write left: stored rows, stored rejects, and the counts of its one job."""
+
+    accepted: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -75,22 +105,127 @@ class Store:
                 files, folder = _file_system(self.spark, new)
                 files.delete(folder, True)
         if self.register:
-            self._register(layer, name, df.schema, bool(partition_by))
+            self._register(layer, name, df.schema, partition_by)
         return self.read(layer, name, df.schema)
 
-    def _register(self, layer: str, name: str, schema: T.StructType, partitioned: bool) -> None:
+    def write_counted(
+        self, df: DataFrame, layer: str, name: str, metrics: Mapping[str, Column], **how,
+    ) -> tuple[DataFrame, dict]:
+        """``write``, and the values of ``metrics`` over the rows written, from the same job."""
+        counted, watch = observed(df, metrics)
+        return self.write(counted, layer, name, **how), watch.get
+
+    def write_split(
+        self, rows: DataFrame, layer: str, name: str, faults: Column, rejects: str,
+        columns: Mapping[str, Column] | None = None, max_rejected: float | None = 0,
+        mode: str = "overwrite", load: str | None = None,
+        metrics: Mapping[str, Column] | None = None,
+    ) -> Split:
+        """Store the rows without a fault as a table, and the faults of the others, in one pass.
+
+        ``faults`` is an array of structs, empty for a good row; each struct of a bad one is a row of
+        ``governance.<rejects>``, which keeps them by table and load. ``columns`` are what a good row
+        is stored as. More than ``max_rejected`` bad rows (a share of all rows if below 1, any number
+        if None) raise ``TooManyRejects`` before the table is touched. A replacing load also replaces
+        the table's rejects; an appending one adds its own.
+        """
+        columns = columns or {c: F.col(c) for c in rows.columns}
+        load = load or f"load-{uuid.uuid4().hex}"
+        marked = rows.withColumn("_faults", faults)
+        bad = F.size("_faults") > 0
+        marked, watch = observed(marked, {
+            **(metrics or {}), "rows": F.count(F.lit(1)), "rejected": F.count_if(bad)})
+        fault = marked.schema["_faults"].dataType.elementType
+        flat = marked.select(
+            (~bad).alias("_accepted"), *[F.when(~bad, c).alias(n) for n, c in columns.items()],
+            F.explode_outer("_faults").alias("_fault")).select(
+            "_accepted", *columns, *[F.col(f"_fault.{f}").alias(REJECT + f) for f in fault.names])
+        schema = T.StructType([flat.schema[c] for c in columns])
+
+        new = self.path(layer, f"_{name}-{load}")
+        reject_path = f"{self.path('governance', rejects)}/table_name={name}"
+        files, folder = _file_system(self.spark, new)
+        try:
+            flat.write.partitionBy("_accepted").parquet(new)
+            counts = watch.get
+            good, bad_path = f"{new}/_accepted=true", f"{new}/_accepted=false"
+            self._publish_rejects(bad_path, reject_path, load, mode == "overwrite")
+            allowed = counts["rejected"] if max_rejected is None else (
+                max_rejected if max_rejected >= 1 else max_rejected * counts["rows"])
+            if counts["rejected"] > allowed:
+                raise TooManyRejects(
+                    f"{name}: {counts['rejected']} of {counts['rows']} rows are rejected, see "
+                    f"{reject_path}: {self._examples(reject_path, fault)}", counts)
+            if not files.exists(_file_system(self.spark, good)[1]):
+                self.spark.createDataFrame([], schema).write.parquet(good)
+            self._publish(good, self.path(layer, name), mode == "overwrite")
+        finally:
+            files.delete(folder, True)
+        if self.register:
+            self._register(layer, name, schema, ())
+            self._register_rejects(rejects, fault)
+        stored = self.rejects(rejects, fault).where(
+            (F.col("table_name") == name) & (F.col("load") == load))
+        return Split(self.read(layer, name, schema), stored, counts)
+
+    def rejects(self, name: str, fault: T.StructType) -> DataFrame:
+        """All stored rejects of a kind, with the table and the load that they are from."""
+        read = self.spark.read.schema(_in_files(fault)).parquet(self.path("governance", name))
+        return read.select("table_name", "load", *[F.col(REJECT + f).alias(f) for f in fault.names])
+
+    def _register_rejects(self, name: str, fault: T.StructType) -> None:
+        """The files as ``<name>_files``, and a view of them with plain names."""
+        self._register("governance", f"{name}_files", _in_files(fault), ("table_name", "load"),
+                       self.path("governance", name))
+        columns = ", ".join(f"`{REJECT}{f}` AS `{f}`" for f in fault.names)
+        self.spark.sql(f"CREATE OR REPLACE VIEW governance.{name} AS SELECT table_name, load, {columns} "
+                       f"FROM governance.{name}_files")
+
+    def _publish(self, new: str, path: str, replaces: bool) -> None:
+        """Put a written folder in the place of a table, or its files next to the table's own."""
+        files, target = _file_system(self.spark, path)
+        if replaces or not files.exists(target):
+            files.mkdirs(target.getParent())
+            replace_folder(self.spark, new, path)
+            return
+        for status in files.listStatus(_file_system(self.spark, new)[1]):
+            file = status.getPath()
+            if not files.rename(file, _file_system(self.spark, f"{path}/{file.getName()}")[1]):
+                raise OSError(f"cannot move {file} to {path}")
+
+    def _publish_rejects(self, new: str, path: str, load: str, replaces: bool) -> None:
+        files, folder = _file_system(self.spark, path)
+        if replaces:
+            files.delete(folder, True)
+        files.mkdirs(folder)
+        source = _file_system(self.spark, new)[1]
+        if files.exists(source) and not files.rename(
+                source, _file_system(self.spark, f"{path}/load={load}")[1]):
+            raise OSError(f"cannot move {new} to {path}")
+
+    def _examples(self, path: str, fault: T.StructType) -> str:
+        found = self.spark.read.schema(_in_files(fault)).parquet(path).select(
+            *[REJECT + f for f in fault.names]).limit(3).collect()
+        return "; ".join(", ".join(str(v) for v in r) for r in found)
+
+    def _register(
+        self, layer: str, name: str, schema: T.StructType, partition_by: Sequence[str],
+        path: str | None = None,
+    ) -> None:
         """Point the catalog at the folder, if it does not already. Dropping leaves the files alone.
 
         The files are written first and by path: saving through a catalog that does not know
         the table would replace what an earlier job appended.
         """
-        table, path = f"{layer}.{name}", self.path(layer, name)
+        table, path = f"{layer}.{name}", path or self.path(layer, name)
         if self._registered(table, path, schema):
             self.spark.sql(f"REFRESH TABLE {table}")
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-        if partitioned:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts}LOCATION '{path}'")
+        if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
     def _registered(self, table: str, path: str, schema: T.StructType) -> bool:
@@ -105,8 +240,10 @@ class Store:
 
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Read by folder, so that a later job needs no catalog that outlives a session."""
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(layer, name))
+        if schema is not None:
+            return self.spark.read.schema(schema).parquet(self.path(layer, name))
+        df = self.spark.read.parquet(self.path(layer, name))
+        return df.drop(*[c for c in df.columns if c.startswith(REJECT)])
 
     def reset_raw(self) -> None:
         """Empty every raw table, keeping its schema."""
@@ -117,14 +254,24 @@ class Store:
         """Store the raw tables and return how many rows each one holds.
 
         ``append`` adds to what is there, so a second run doubles the data unless
-        ``reset_raw`` comes first; the default replaces it.
+        ``reset_raw`` comes first; the default replaces it. Rows are counted by the job that writes
+        them; what was there before is read from file footers.
         """
-        stored = {name: self.write(df, "raw", name, mode) for name, df in frames.items()}
-        return union_all([
-            df.agg(F.count(F.lit(1)).alias("row_count"))
-            .select(F.lit(name).alias("table_name"), "row_count")
-            for name, df in stored.items()
-        ])
+        rows = {}
+        for name, df in frames.items():
+            before = self.stored_rows("raw", name) if mode == "append" else 0
+            _, counts = self.write_counted(
+                df, "raw", name, {"rows": F.count(F.lit(1))}, mode=mode)
+            rows[name] = before + counts["rows"]
+        return self.row_counts(rows)
+
+    def stored_rows(self, layer: str, name: str) -> int:
+        """Rows of a stored table, 0 if there is none. A count reads no column of its files."""
+        files, folder = _file_system(self.spark, self.path(layer, name))
+        return self.read(layer, name).count() if files.exists(folder) else 0
+
+    def row_counts(self, rows: Mapping[str, int]) -> DataFrame:
+        return self.spark.createDataFrame(list(rows.items()), "table_name string, row_count long")
 
     def write_log(self, log: DataFrame, name: str = "violations_log") -> DataFrame:
         """Store the violations log, one folder per table and dimension.
@@ -146,9 +293,24 @@ class Store:
                 f"AND dimension = '{rule.dimension}' AND rule_name = '{rule.name}'")
 
     def append_history(self, snapshot: DataFrame) -> DataFrame:
-        """Add a scorecard snapshot: one row per table and dimension, hence one file."""
-        return self.write(snapshot.coalesce(1), "governance", "quality_scorecard_history",
-                          mode="append")
+        """Add a scorecard snapshot: one row per table and dimension, hence one file.
+
+        Snapshots are kept by run, which is their time. A run that is repeated, or retried after it
+        failed, replaces its own snapshot and no other.
+        """
+        runs = snapshot.withColumn("run", F.unix_micros("measured_at")).coalesce(1)
+        return self.write_parts(runs, "governance", "quality_scorecard_history", ["run"]).drop("run")
+
+    def write_parts(
+        self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str],
+    ) -> DataFrame:
+        """Replace the folders that ``df`` has rows for, and leave the others of the table."""
+        path = self.path(layer, name)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *partition_by).parquet(path)
+        if self.register:
+            self._register(layer, name, df.schema, partition_by)
+        return self.read(layer, name, df.schema)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
