@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ TILE_BYTES = 64 << 20
 TILE_SETS = 2048
 #: Sets that make a component worth joining with others before all pairs are looked at.
 LARGE_COMPONENT = 16
+#: One more element in the longer prefix for so many of the set.
+MORE_SHARED = 10
 #: Bits of a signature for each element, rounded up to a power of two.
 BITS_PER_ELEMENT = 4
 #: Words whose hashes a task remembers, and entries that are compared at once.
@@ -72,26 +75,36 @@ def shingle_set(text: bytes | None, width: int, known: _WordHashes) -> np.ndarra
 
 
 def node_of(hashes: np.ndarray) -> int:
-    return np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).astype(np.int64).item()
+    """A set's number: even, since an odd one marks a base element (``_tokens``)."""
+    return np.uint64(xxhash.xxh64_intdigest(hashes.tobytes()) & ~1).astype(np.int64).item()
 
 
 # --- prefixes -------------------------------------------------------------------------
 
 
+_SETS = "id long, key long, n long, node long, part int, counts binary"
+
+
 def _counted(width: int, parts: int):
-    """How many sets of a task fall on each counter, cut in parts."""
+    """``id, key, text`` → a row per document, and how many sets of the task fall on each counter."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = _WordHashes(), np.zeros(COUNTERS, np.int64)
         shift = np.uint64(64 - (COUNTERS - 1).bit_length())
+        names = ["id", "key", "n", "node", "part", "counts"]
         for batch in batches:
-            sets = [shingle_set(t.as_py(), width, known) for t in batch.column(0)]
+            sets = [shingle_set(t.as_py(), width, known) for t in batch.column(2)]
             if sets:
                 total += np.bincount((np.concatenate(sets) >> shift).astype(np.int64),
                                      minlength=COUNTERS)
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
         if total.any():
             pieces = [p.tobytes() for p in total.reshape(parts, -1)]
-            yield pa.record_batch([pa.array(range(parts), pa.int32()), pa.array(pieces, pa.binary())],
-                                  ["part", "counts"])
+            none = pa.nulls(parts, pa.int64())
+            yield pa.record_batch([none] * 4 + [pa.array(range(parts), pa.int32()),
+                                                pa.array(pieces, pa.binary())], names)
 
     return task
 
@@ -114,65 +127,107 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               ["part", "counts"])
 
 
-def rarity(docs: DataFrame, text_col: str, width: int, parts: int = 64) -> np.ndarray:
+def rarity(counts: DataFrame, parts: int) -> np.ndarray:
     """The logarithm of each counter over all documents: a fixed number of bytes at any input."""
-    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
-    each = texts.mapInArrow(_counted(width, parts), "part int, counts binary").withColumn(
-        "salt", F.spark_partition_id() % 32)
+    each = counts.select("part", "counts", (F.spark_partition_id() % 32).alias("salt"))
     schema = "part int, counts binary"
     first = each.repartition("part", "salt").sortWithinPartitions("part").select(
         "part", "counts").mapInArrow(_summed, schema)
     last = first.repartition("part").sortWithinPartitions("part").mapInArrow(_summed, schema)
     levels = np.zeros((parts, COUNTERS // parts), np.uint8)
     for row in last.collect():  # as many rows as parts
-        counts = np.frombuffer(row.counts, np.int64)
-        levels[row.part] = np.log2(counts + 1).astype(np.uint8)
+        levels[row.part] = np.log2(np.frombuffer(row.counts, np.int64) + 1).astype(np.uint8)
     return levels.reshape(-1)
 
 
-def prefix(hashes: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest elements, so many that two sets within the threshold share one of them."""
-    needed = len(hashes) - -(-percent * len(hashes) // 100) + 1
+def in_order(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The elements from rare to frequent, in one order for all sets."""
     level = levels[(hashes >> np.uint64(64 - (len(levels) - 1).bit_length())).astype(np.int64)]
-    return hashes[np.argsort(level, kind="stable")[:needed]]
+    return hashes[np.argsort(level, kind="stable")]
+
 
+def base_size(n, percent: int):
+    """Two sets within the threshold share one of so many of their rarest elements."""
+    return n - -(-percent * n // 100) + 1
 
-def _sets(width: int, percent: int, levels):
-    """``id, key, text`` → ``id, key, n, node, tokens``; equal sets of a task give tokens once."""
+
+def more_shared(n):
+    """With so many elements more in each prefix, they share so many more of them."""
+    return n // MORE_SHARED
+
+
+def _tokens(width: int, percent: int, levels):
+    """``text`` → ``token, node`` for the longer prefix of each set; an odd node marks the base."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = _WordHashes(), set()
         for batch in batches:
-            sizes, nodes, tokens = [], [], []
-            for text in batch.column(2):
+            tokens, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for text in batch.column(0):
                 hashes = shingle_set(text.as_py(), width, known)
-                sizes.append(len(hashes))
                 node = node_of(hashes) if len(hashes) else None
-                nodes.append(node)
-                fresh = node is not None and node not in seen
-                tokens.append(prefix(hashes, levels.value, percent).view(np.int64) if fresh else [])
+                if node is None or node in seen:
+                    continue
                 seen.add(node)
+                base = base_size(len(hashes), percent)
+                rare = in_order(hashes, levels.value)[:base + more_shared(len(hashes))]
+                tokens.append(rare.view(np.int64))
+                nodes.append(node | (np.arange(len(rare)) < base))
             if len(seen) > HELD_WORDS:
                 seen.clear()
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                 pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["id", "key", "n", "node", "tokens"])
+            yield pa.record_batch([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(nodes))],
+                                  ["token", "node"])
 
     return task
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by token and node → those of tokens that several sets have, each once."""
+    held = np.empty((0, 2), np.int64)
+    given = None  # the token whose rows were given away last, and the last of them
+    for batch in chain(batches, [None]):
+        rows = held
+        if batch is not None:
+            rows = np.concatenate([held, np.column_stack([c.to_numpy() for c in batch.columns])])
+        if not len(rows):
+            continue
+        rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
+        same = rows[1:, 0] == rows[:-1, 0]
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        if given is not None:
+            shared[rows[:, 0] == given[0]] = True
+            shared[0] &= tuple(rows[0]) != given
+        done = len(rows) if batch is None else len(rows) - 1
+        # the last row waits for the next batch, unless it is known to be shared
+        if done < len(rows) and shared[-1]:
+            done = len(rows)
+        out = rows[:done][shared[:done]]
+        held = rows[done:]
+        if done:
+            given = tuple(rows[done - 1].tolist()) if shared[done - 1] or given == tuple(
+                rows[done - 1].tolist()) else None
+        yield pa.record_batch([pa.array(out[:, 0]), pa.array(out[:, 1] & ~1),
+                               pa.array((out[:, 1] & 1).astype(bool))], ["token", "node", "base"])
+
+
 def _arrays(width: int):
-    """``text`` → ``node, hashes, bits``."""
+    """``text`` → ``node, n, hashes, bits``; equal sets of a task once."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
+        known, seen = _WordHashes(), set()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), width, known) for t in batch.column(0)]
+            sets = {}
+            for text in batch.column(0):
+                hashes = shingle_set(text.as_py(), width, known)
+                node = node_of(hashes)
+                if node not in seen:
+                    seen.add(node)
+                    sets[node] = hashes
+            if len(seen) > HELD_WORDS:
+                seen.clear()
             yield pa.record_batch(
-                [pa.array([node_of(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()),
-                 pa.array([signature(s).tobytes() for s in sets], pa.binary())],
-                ["node", "n", "hashes", "bits"])
+                [pa.array(list(sets), pa.int64()),
+                 pa.array([s.tobytes() for s in sets.values()], pa.binary()),
+                 pa.array([signature(s).tobytes() for s in sets.values()], pa.binary())],
+                ["node", "hashes", "bits"])
 
     return task
 
@@ -288,6 +343,8 @@ def _search(percent: int):
                 if (group, tile) != key:
                     yield found()
                     key, nodes, sets = (group, tile), [], []
+                if nodes and nodes[-1] == node:
+                    continue  # rows are sorted by node, too
                 nodes.append(node)
                 sets.append(np.frombuffer(hashes.as_py(), np.uint64))
         yield found()
@@ -375,7 +432,7 @@ def _seeded(rows: DataFrame, arrays: DataFrame, percent: int, tile_bytes: int) -
     dealt = rows.join(tiles, "token").withColumn(
         "tile", F.pmod(F.xxhash64("node", "token"), "tiles")).join(
         arrays.select("node", "hashes"), "node").select("token", "tile", "node", "hashes")
-    return dealt.repartition("token", "tile").sortWithinPartitions("token", "tile").mapInArrow(
+    return dealt.repartition("token", "tile").sortWithinPartitions("token", "tile", "node").mapInArrow(
         _search(percent), "a long, b long")
 
 
@@ -428,32 +485,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has an id. Other columns are ignored; an empty table gives an empty result. Shingles and sets are
     told apart by 64-bit hashes.
     """
-    spark = docs.sparkSession
+    parts = 64
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("key"),
                         F.col(text_col).cast("binary").alias("text"))
-    levels = spark.sparkContext.broadcast(rarity(docs, text_col, width))
-    each = written(plain.mapInArrow(
-        _sets(width, percent, levels), "id long, key long, n long, node long, tokens array<long>"),
-        "sets")
-    tokens = each.select("node", "n", F.explode("tokens").alias("token"))
-    shared = written(tokens.groupBy("token").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
-        .where("low <> high").select("token", "size"), "shared")
-    members = written(tokens.join(shared, "token").groupBy("token", "node").agg(
-        F.min("n").alias("n"), F.min("size").alias("size")), "members")
-
-    largest = members.groupBy("node").agg(
-        F.max(F.struct("size", "token"))["token"].alias("token"), F.min("n").alias("n"))
-    chosen = written(largest, "chosen")
-    kept = written(each.join(chosen.select("node"), "node", "left_semi").groupBy("node").agg(
-        F.min(F.struct("id", "key")).alias("row")).select("row.id", "row.key"), "rows")
+    sets = written(plain.mapInArrow(_counted(width, parts), _SETS), "sets")
+    each = sets.where("part is null").select("id", "key", "n", "node")
+    levels = docs.sparkSession.sparkContext.broadcast(
+        rarity(sets.where("part is not null"), parts))
+    tokens = plain.select("text").mapInArrow(
+        _tokens(width, percent, levels), "token long, node long")
+    shared = written(tokens.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
+        _shared, "token long, node long, base boolean"), "shared")
+
+    # A set shares so many elements of its longer prefix with any set that it is linked to, whose size
+    # is ``percent`` of its own at least. Only sets that share as many are looked at.
+    sizes = each.where("node is not null").groupBy("node").agg(
+        F.min("n").alias("n"), F.min(F.struct("id", "key")).alias("row"))
+    enough = F.col("shared") >= 1 + F.floor(F.ceil(percent * F.col("n") / 100) / MORE_SHARED)
+    kept = written(
+        shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(sizes, "node").where(enough)
+        .select("node", "n", "row.id", "row.key"), "kept")
+    members = written(shared.where("base").join(kept.select("node", "n"), "node").select(
+        "token", "node", "n"), "members")
     texts = plain.alias("p").join(
         kept.alias("k"), (F.col("p.key") == F.col("k.key")) & F.col("p.id").eqNullSafe(F.col("k.id")),
         "left_semi").select("text")
-    arrays = written(
-        texts.mapInArrow(_arrays(width), "node long, n long, hashes binary, bits binary")
-        .dropDuplicates(["node"]), "arrays")
+    arrays = written(texts.mapInArrow(_arrays(width), "node long, hashes binary, bits binary"), "arrays")
 
+    tokens = members.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = members.join(written(tokens, "tokens"), "token")
+    chosen = written(members.groupBy("node").agg(
+        F.max(F.struct("size", "token"))["token"].alias("token"), F.min("n").alias("n")), "chosen")
+    members = members.select("token", "node", "n")
     tied = _components(None, written(_seeded(chosen, arrays, percent, tile_bytes), "links"))
     parts = _tied(members, tied).groupBy("token", "component").agg(
         F.count(F.lit(1)).alias("sets"),
