@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritable.operators import keyed
@@ -31,6 +31,12 @@ def _row_rules_by_table(rules: Sequence[Rule]) -> dict[str, list[RowRule]]:
 # --- violations, one row each ---------------------------------------------------------
 
 
+def _with_derived(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    """What several rules read is computed once: Spark keeps costly columns that are used again."""
+    derived = dict(pair for r in rules for pair in r.derived)
+    return df.withColumns(derived) if derived else df
+
+
 def _row_violations(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """All row rules of a table in one scan, without a shuffle."""
     found = [
@@ -47,7 +53,7 @@ def _row_violations(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
         for r in rules
     ]
     broken = F.filter(F.array(*found), lambda v: v.isNotNull())
-    return df.select(F.explode(broken).alias("v")).select("v.*")
+    return _with_derived(df, rules).select(F.explode(broken).alias("v")).select("v.*")
 
 
 def _tagged(ids: DataFrame, rule: Rule, detail) -> DataFrame:
@@ -111,6 +117,34 @@ def create_rule_views(frames: Frames, rules: Sequence[Rule]) -> list[str]:
     return names
 
 
+# --- rules that users add as views -------------------------------------------------------
+
+
+def catalog_views(spark: SparkSession, database: str, pattern: str = "v_*",
+                  without: Collection[str] = ()) -> dict[str, DataFrame]:
+    """The views of a name pattern that are rules, by name: those with the columns of the log.
+
+    Views of the session count, too. ``without`` names the views of rules that are evaluated anyway.
+    A view of another shape is refused, since it would silently be missing from every score.
+    """
+    found = {}
+    for table in spark.catalog.listTables(database, pattern):
+        if table.name in without or table.tableType not in ("VIEW", "TEMPORARY"):
+            continue
+        name = table.name if table.isTemporary else f"{database}.{table.name}"
+        view = spark.table(name)
+        if sorted(view.columns) != sorted(LOG_COLUMNS):
+            raise ValueError(f"view {name} has columns {view.columns}, not those of the log: "
+                             f"{list(LOG_COLUMNS)}")
+        found[name] = view.select([F.col(c).cast("string").alias(c) for c in LOG_COLUMNS])
+    return found
+
+
+def whole_log(frames: Frames, rules: Sequence[Rule], views: Mapping[str, DataFrame]) -> DataFrame:
+    """The log of the built-in rules and of the rules found as views."""
+    return union_all([violations_log(frames, rules), *views.values()])
+
+
 # --- counts, for scores ---------------------------------------------------------------
 
 
@@ -131,7 +165,8 @@ def _unpivot_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def _count_row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     counts = [F.count_if(r.violated).alias(f"c{i}") for i, r in enumerate(rules)]
-    return _unpivot_counts(df.agg(F.count(F.lit(1)).alias("rows"), *counts), rules)
+    counted = _with_derived(df, rules).agg(F.count(F.lit(1)).alias("rows"), *counts)
+    return _unpivot_counts(counted, rules)
 
 
 def _count_unique(df: DataFrame, rule: UniqueRule) -> DataFrame:

@@ -71,6 +71,12 @@ def drill_through(
     return keyed.attach(source, broken, [record_id], "inner")
 
 
+def record_violations(log: DataFrame, table: str, record_id: str) -> DataFrame:
+    """What is wrong with one record. On a stored log only the folders of its table are looked at, and in
+    them only row groups whose statistics and Bloom filter admit the record."""
+    return log.where((F.col("table_name") == table) & (F.col("record_id") == record_id))
+
+
 Issues = Mapping[str, tuple[Column, Column]]
 
 

@@ -32,6 +32,8 @@ class RowRule(Rule):
 
     violated: Column
     detail: Column
+    #: Columns that ``violated`` reads and that are computed once per record for all rules.
+    derived: tuple[tuple[str, Column], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -114,14 +116,13 @@ def _sign_mismatch() -> Column:
     return ((kind == "OUTBOUND") & (change > 0)) | ((kind == "INBOUND") & (change < 0))
 
 
-def _delivered_before_ordered() -> Column:
-    ordered = dates.flexible_date(F.col("order_date"))
-    return dates.flexible_date(F.col("expected_delivery_date")) < ordered
+def _read_date(column: str) -> tuple[str, Column]:
+    return f"_{column}_read", dates.flexible_date(F.col(column))
 
 
 def _off_format_but_readable(column: str) -> Column:
-    c = F.col(column)
-    return ~c.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{4}\z") & dates.flexible_date(c).isNotNull()
+    shape = r"^[0-9]{2}-[0-9]{2}-[0-9]{4}\z"
+    return ~F.col(column).rlike(shape) & F.col(f"_{column}_read").isNotNull()
 
 
 def sql_rules() -> list[Rule]:
@@ -152,17 +153,23 @@ def sql_rules() -> list[Rule]:
                 prefix != CANONICAL_PREFIX, F.concat(F.lit("prefix = "), prefix)),
         RowRule(*order, "consistency", "non_primary_date_format",
                 _off_format_but_readable("order_date"),
-                _quoted("order_date", " did not match DD-MM-YYYY")),
+                _quoted("order_date", " did not match DD-MM-YYYY"), (_read_date("order_date"),)),
         RowRule(*order, "accuracy", "delivery_before_order",
-                _delivered_before_ordered(), F.lit("expected_delivery_date before order_date")),
+                F.col("_expected_delivery_date_read") < F.col("_order_date_read"),
+                F.lit("expected_delivery_date before order_date"),
+                (_read_date("order_date"), _read_date("expected_delivery_date"))),
         RowRule(*transaction, "accuracy", "sign_mismatch", _sign_mismatch(),
                 F.concat(F.col("transaction_type"), F.lit(" with quantity_change = "),
                          F.col("quantity_change"))),
     ]
 
 
-def cell_rules() -> list[Rule]:
-    """One violation per bad cell; off-format dates count as accuracy, on three columns."""
+def cell_rules(first: Column | None = None) -> list[Rule]:
+    """One violation per bad cell; off-format dates count as accuracy, on three columns.
+
+    ``first`` says which of several equal products is not surplus: the one where it is least, such as
+    ``row_number`` of a numbered load. By default the key without its prefix decides.
+    """
     rules: list[Rule] = []
     for table, columns in REQUIRED.items():
         for c in columns:
@@ -172,7 +179,7 @@ def cell_rules() -> list[Rule]:
         UniqueRule("products", "sku", "uniqueness", "surplus_product_supplier",
                    ("product_name", "supplier_id"),
                    "duplicate (product_name, supplier_id) pair", surplus_only=True,
-                   order=text.without_prefix(F.col("sku"))),
+                   order=first if first is not None else text.without_prefix(F.col("sku"))),
         ForeignKeyRule("products", "sku", "validity", "orphan_supplier_id",
                        "supplier_id", "suppliers", "supplier_id"),
         RowRule("products", "sku", "consistency", "non_canonical_category",

@@ -452,6 +452,14 @@ SELECT sku, product_name, coalesce({title('p.category')}, n.category) AS categor
 FROM products p LEFT JOIN named n ON p.category IS NULL AND lower(p.product_name) = n.name"""
 
 
+_USER_RULE = ("SELECT sku AS record_id, 'products' AS table_name, 'validity' AS dimension, "
+              "'short_name' AS rule_name, product_name AS detail FROM products "
+              "WHERE length(product_name) < 10")
+RECORD_LOOKUP = """
+SELECT l.* FROM log l JOIN (SELECT table_name, max(record_id) AS record_id FROM log
+  GROUP BY table_name) m ON l.table_name = m.table_name AND l.record_id = m.record_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     grouped = "SELECT dimension, count(*) AS n FROM ({log}) l GROUP BY dimension"
     share = half_up("(100 * violation_count)", "total", 100)
@@ -482,6 +490,14 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT table_name, 2 * row_count AS row_count FROM ({ROWS}) r"),
         "raw_reset": with_tables(ROWS),
         "registry_scan": with_tables(CELLS),
+        "record_lookup": with_tables(RECORD_LOOKUP, log=LOG),
+        "catalog_rules": with_tables(card(_union([LOG, _USER_RULE]))),
+        "appended_keys": with_tables(
+            "SELECT purchase_order_id FROM purchase_orders WHERE right(purchase_order_id, 1) = '9'"),
+        "surplus_in_file_order": with_tables(_cell(
+            "products", "sku", "uniqueness", "surplus_product_supplier", "position > 1",
+            "(SELECT *, row_number() OVER (PARTITION BY product_name, supplier_id "
+            "ORDER BY md5(sku)) AS position FROM products)")),
         "raw_rejects": with_tables(RAW_REJECTS),
         "staging_rejects": with_tables(STAGING_REJECTS, faulty=_FAULTY),
         "category_by_keyword_table": with_tables(f"SELECT * FROM ({BY_KEYWORD}) k"),

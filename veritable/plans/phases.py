@@ -11,12 +11,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veritable.functions.dates import register_sql_functions
 from veritable.operators import evaluate, profile, report, rules, score, standardize
-from veritable.operators.evaluate import union_all
 from veritable.sources import raw
-from veritable.sources.schemas import ENTITIES
+from veritable.sources.schemas import ENTITIES, Entity
+from veritable.sources.scratch import written
 from veritable.sources.tables import Store, TooManyRejects, write_csv
 
 
@@ -30,28 +31,49 @@ def prepare(store: Store) -> None:
 def load(
     spark: SparkSession, store: Store, paths: Mapping[str, str], mode: str = "overwrite",
     multi_line: bool = False, parse_mode: str = "PERMISSIVE", max_rejected: float | None = 0,
+    numbered: bool = False, check_keys: bool = False,
 ) -> DataFrame:
     """CSV files → raw tables. Returns rows per table. The scan's options are those of ``read_csv``.
 
     A line that would lose cells goes to ``governance.raw_rejects`` with its reasons, in the pass that
     stores the other lines. More such lines in a file set than ``max_rejected`` (a share if below 1,
-    any number if None) stop the run before that table is touched.
+    any number if None) stop the run before that table is touched. ``numbered`` adds ``row_number``,
+    the place of a line in its files (``raw.number_rows``). ``check_keys`` refuses an appended load
+    that has a key of an earlier load, or one key twice, and keeps the keys for the next one.
     """
     if parse_mode != "PERMISSIVE":
         return store.write_raw(raw.read_all(spark, paths, multi_line, parse_mode), mode)
     rows = {}
     for name, path in paths.items():
-        schema = ENTITIES[name].raw_schema
+        entity = ENTITIES[name]
+        schema = entity.raw_schema
         before = store.stored_rows("raw", name) if mode == "append" else 0
+        lines = raw.read_lines(spark, path, schema, multi_line)
+        columns = {c: F.col(c) for c in schema.names}
+        if numbered:
+            lines = raw.number_rows(lines, None if isinstance(path, str) else path)
+            columns["row_number"] = F.col("row_number")
+        faults = raw.line_faults(schema)
+        if check_keys and mode == "append":
+            lines = written(lines, "load")  # its keys are looked at before it is stored
+            fresh = lines.where(F.size(faults) == 0).select(*entity.key)
+            store.assert_new_keys(fresh, name, entity.key)
         split = store.write_split(
-            raw.read_lines(spark, path, schema, multi_line), "raw", name, raw.line_faults(schema),
-            "raw_rejects", {c: F.col(c) for c in schema.names}, max_rejected, mode)
+            lines, "raw", name, faults, "raw_rejects", columns, max_rejected, mode)
+        if check_keys and mode == "append":
+            store.append_keys(fresh, name, entity.key)
+        elif check_keys:
+            store.replace_keys(split.accepted, name, entity.key)
         rows[name] = before + split.counts["rows"] - split.counts["rejected"]
     return store.row_counts(rows)
 
 
-def raw_frames(store: Store) -> dict[str, DataFrame]:
-    return {name: store.read("raw", name, e.raw_schema) for name, e in ENTITIES.items()}
+def raw_frames(store: Store, numbered: bool = False) -> dict[str, DataFrame]:
+    """The raw tables, with the ``row_number`` of a numbered load if asked for."""
+    def schema(entity: Entity) -> T.StructType:
+        return entity.raw_schema.add("row_number", "long") if numbered else entity.raw_schema
+
+    return {name: store.read("raw", name, schema(e)) for name, e in ENTITIES.items()}
 
 
 def now() -> dt.datetime:
@@ -77,11 +99,10 @@ def run_profile(store: Store, reports: str | None = None) -> dict[str, DataFrame
         "profiling_date_format_violations": profile.date_violations(frames),
         "profiling_date_format_counts": profile.date_violation_counts(frames),
     }
-    written = {n: store.write(df, "governance", n) for n, df in tables.items()}
-    written["profiling_null_offenders"] = profile.null_offenders(
-        written["profiling_column_summary"])
-    _write_reports(written, reports)
-    return written
+    out = {n: store.write(df, "governance", n) for n, df in tables.items()}
+    out["profiling_null_offenders"] = profile.null_offenders(out["profiling_column_summary"])
+    _write_reports(out, reports)
+    return out
 
 
 def profile_load(
@@ -99,17 +120,26 @@ def profile_load(
 
 def run_assess(
     store: Store, reports: str | None = None, ruleset: str = "sql",
-    measured_at: dt.datetime | None = None,
+    measured_at: dt.datetime | None = None, file_order: bool = False,
 ) -> dict[str, DataFrame]:
     """Raw tables → violations log → scorecards.
 
-    The ``sql`` rules also get their views and add a snapshot to the score history. Tables of
-    another rule set carry its name, so that neither run replaces the other's results.
+    The ``sql`` rules also get their views and add a snapshot to the score history; views
+    ``governance.v_...`` that users added take part in log and scores. Tables of another rule set
+    carry its name, so that neither run replaces the other's results. After a numbered
+    load, ``file_order`` lets the ``cell`` rules take the product that comes first in the files as
+    the first of several equal ones.
     """
-    frames, exact = raw_frames(store), ruleset == "sql"
-    catalog = rules.RULESETS[ruleset]()
+    frames, exact = raw_frames(store, file_order), ruleset == "sql"
+    catalog = rules.RULESETS[ruleset]() if not file_order else rules.cell_rules(F.col("row_number"))
+    if file_order and exact:
+        raise ValueError("the sql rules have no first record")
     suffix = "" if exact else f"_{ruleset}"
-    log = store.write_log(evaluate.violations_log(frames, catalog), f"violations_log{suffix}")
+    views = {}
+    if exact and store.register:
+        own = {rules.view_name(r) for r in catalog}
+        views = evaluate.catalog_views(store.spark, "governance", without=own)
+    log = store.write_log(evaluate.whole_log(frames, catalog, views), f"violations_log{suffix}")
     rows = store.write(score.row_counts(frames), "governance", "table_row_counts")
     card = store.write(
         score.scorecard_from_log(log, rows, exact), "governance", f"quality_scorecard{suffix}")

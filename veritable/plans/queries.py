@@ -6,6 +6,7 @@ Decimals are cast to DOUBLE at the end so that results compare across engines.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from veritable.sources.raw import (
     default_paths,
     line_faults,
     normalize_nulls,
+    number_rows,
     read_all,
     read_csv,
     read_lines,
@@ -230,6 +232,61 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"))
 
 
+def record_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The violations of the last bad record of each table, looked up one by one in the stored log."""
+    store = Store(spark, new_path(spark, "store"), register=False)
+    log = store.write_log(full_log(DirtyFrames(spark, sf_dir)))
+    last = log.groupBy("table_name").agg(F.max("record_id").alias("record_id")).collect()
+    return evaluate.union_all([
+        report.record_violations(log, r.table_name, r.record_id).select(*evaluate.LOG_COLUMNS)
+        for r in last])
+
+
+def catalog_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard of the twelve rules and of one more, which is found as a view of the session."""
+    frames = DirtyFrames(spark, sf_dir)
+    frames["products"].createOrReplaceTempView("user_products")
+    spark.sql("""CREATE OR REPLACE TEMPORARY VIEW v_user_short_name AS
+        SELECT 'products' AS table_name, 'validity' AS dimension, 'short_name' AS rule_name,
+          sku AS record_id, product_name AS detail
+        FROM user_products WHERE length(product_name) < 10""")
+    try:
+        views = evaluate.catalog_views(spark, spark.catalog.currentDatabase(), "v_user_*")
+        store = Store(spark, new_path(spark, "store"), register=False)
+        log = store.write_log(evaluate.whole_log(frames, rules.sql_rules(), views))
+    finally:
+        for name in ("v_user_short_name", "user_products"):
+            spark.catalog.dropTempView(name)
+    return as_double(score.scorecard_from_log(log, score.row_counts(frames)), "quality_score")
+
+
+def surplus_in_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surplus products of a numbered load, whose files hold the products by the digest of their key."""
+    path = new_path(spark, "products_csv")
+    products = unnormalized(spark, sf_dir, "products")
+    write_csv(products.repartitionByRange(5, F.md5("sku")).sortWithinPartitions(F.md5("sku")), path)
+    schema = ENTITIES["products"].raw_schema
+    numbered = number_rows(read_lines(spark, path, schema))
+    surplus = [r for r in rules.cell_rules(F.col("row_number")) if r.name.startswith("surplus_")]
+    log = evaluate.violations_log({"products": numbered}, surplus)
+    return log.select("table_name", "dimension", "rule_name", "record_id")
+
+
+def appended_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys in two loads, the second with a tenth of the first: those that clash."""
+    database = f"keys_{uuid.uuid4().hex}"
+    orders = DirtyFrames(spark, sf_dir)["purchase_orders"].select("purchase_order_id")
+    odd = F.right("purchase_order_id", F.lit(1)).isin("1", "3", "5", "7", "9")
+    ending = F.right("purchase_order_id", F.lit(1)) == "9"
+    store = Store(spark, new_path(spark, "store"), database=database)
+    spark.sql(f"CREATE DATABASE {database}")
+    keys = ("purchase_order_id",)
+    store.append_keys(orders.where(odd), "orders", keys)
+    known = written(store.known_keys(orders.where(~odd | ending), "orders", keys), "known")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return known
+
+
 def scorecard_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored log ⋈ stored row counts."""
     frames = DirtyFrames(spark, sf_dir)
@@ -460,6 +517,8 @@ QUERIES: dict[str, Query] = {
     "casing": over_frames(casing),
     "key_prefixes": over_frames(key_prefixes),
     "rule_views": rule_views,
+    "catalog_rules": catalog_rules,
+    "record_lookup": record_lookup,
     "flexible_dates": flexible_dates,
     "violations_log": over_frames(full_log),
     "violation_counts": over_frames(
@@ -474,6 +533,7 @@ QUERIES: dict[str, Query] = {
     # rules, one row per cell
     "cell_completeness": _cell("missing_"),
     "surplus_duplicates": _cell("surplus_"),
+    "surplus_in_file_order": surplus_in_file_order,
     "orphan_untrimmed": _cell("orphan_"),
     "title_case_rules": _cell("non_canonical_"),
     "date_accuracy": _cell("off_format_"),
@@ -513,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "staging_products_final": over_frames(
         lambda f: standardize.final_products(products_audit(f))),
     "staging_key_check": staging_key_check,
+    "appended_keys": appended_keys,
     "staging_wide_numbers": staging_wide_numbers,
     "staging_lost_casts": staging_lost_casts,
     "staging_rejects": staging_rejects,

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritable.functions.text import null_if_token
 from veritable.sources.schemas import ENTITIES
+from veritable.sources.scratch import written
 
 
 def normalize_nulls(df: DataFrame) -> DataFrame:
@@ -18,7 +20,9 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[null_if_token(c) for c in df.columns])
 
 
-_WHOLE_LINE, _FILE = "_whole_line", "_file"
+#: Local paths come with one slash or three.
+_LOCAL = re.compile("^file:/+")
+_WHOLE_LINE, _FILE, _BLOCK = "_whole_line", "_file", "_block"
 #: What ``governance.raw_rejects`` says of a line that would lose cells.
 LINE_REJECTS = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("source_file", "line", "reason")])
@@ -61,8 +65,10 @@ def read_lines(
 
     For ``Store.write_split`` with ``line_faults``: good rows and refused lines in one scan.
     """
-    lines = _scan(spark, path, schema, multi_line).withColumn(_FILE, F.col("_metadata.file_path"))
-    return lines.selectExpr(*[null_if_token(c) for c in schema.names], _WHOLE_LINE, _FILE)
+    lines = _scan(spark, path, schema, multi_line)
+    return lines.selectExpr(
+        *[null_if_token(c) for c in schema.names], _WHOLE_LINE, f"_metadata.file_path AS {_FILE}",
+        f"_metadata.file_block_start AS {_BLOCK}")
 
 
 def _scan(
@@ -93,7 +99,7 @@ def read_csv(
     unless ``multi_line`` says that quoted values hold line breaks. A short line is filled with
     NULLs; ``mode="FAILFAST"`` refuses lines with another number of cells. A line with too many
     cells, or with a quote that the line does not close, is refused in any mode, since parts of it
-    would be lost; ``read_lines`` lets such a line be put aside instead.
+    would be lost (a quote left open in the last cell loses none: it is part of that cell); ``read_lines`` lets such a line be put aside instead.
     """
     raw = _scan(spark, path, schema, multi_line, mode)
     if mode == "PERMISSIVE":
@@ -101,6 +107,43 @@ def read_csv(
     return normalize_nulls(raw)
 
 
+def number_rows(lines: DataFrame, paths: Sequence[str] | None = None) -> DataFrame:
+    """``read_lines`` with ``row_number``: the line's place among all data lines, from 0.
+
+    Files come in the order of ``paths``, or else by name, and lines as they stand in them, however
+    Spark cut the files. Every split of a file numbers its own lines; the splits' counts, one row per
+    split, are summed up to the split before. The lines are written once, with the number that they
+    have in their task, so that a repeated task cannot number them anew.
+    """
+    at = written(lines.select(
+        "*", F.monotonically_increasing_id().alias("_at")), "lines")
+    split = [_FILE, _BLOCK]
+    counts = at.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
+    place = F.col(_FILE)
+    if paths is not None:
+        given = F.array(*[F.lit(_LOCAL.sub("file:/", file))
+                          for file in qualified(lines.sparkSession, paths)])
+        file = F.regexp_replace(_FILE, _LOCAL.pattern, "file:/")
+        place = F.struct(F.array_position(given, file).alias("given"), F.col(_FILE))
+    in_file = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy(_FILE).agg(F.sum("n").alias("total"))
+    in_order = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = totals.select(_FILE, F.coalesce(F.sum("total").over(in_order), F.lit(0)).alias("ahead"))
+    starts = written(
+        counts.withColumn("before", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
+        .join(files, _FILE).select(*split, "first", (F.col("ahead") + F.col("before")).alias("start")),
+        "starts")
+    number = F.col("start") + F.col("_at") - F.col("first")
+    return at.join(starts, split).withColumn("row_number", number).drop("_at", "first", "start", _BLOCK)
+
+
+def qualified(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Paths of single files with the scheme and host that a scan reports."""
+    found = [spark._jvm.org.apache.hadoop.fs.Path(path) for path in paths]
+    settings = spark._jsc.hadoopConfiguration()
+    return [p.getFileSystem(settings).makeQualified(p).toUri().toString() for p in found]
+
+
 def default_paths(data_dir: str) -> dict[str, str]:
     return {name: f"{data_dir}/erp_{name}.csv" for name in ENTITIES}
 

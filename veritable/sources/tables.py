@@ -21,6 +21,8 @@ from veritable.sources.schemas import ENTITIES
 LAYERS = ("raw", "staging", "governance")
 #: Good rows and rejects leave one job, hence as files with all columns; these belong to rejects.
 REJECT = "_reject_"
+#: Buckets of stored keys. A table keeps its number, so choose it for the size that it will have.
+KEY_BUCKETS = 64
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -78,6 +80,8 @@ class Store:
     spark: SparkSession
     root: str
     register: bool = True
+    #: Where the bucketed keys are known; their files are in the governance layer.
+    database: str = "governance"
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -89,11 +93,12 @@ class Store:
     def write(
         self, df: DataFrame, layer: str, name: str,
         mode: str = "overwrite", partition_by: Sequence[str] = (),
+        options: Mapping[str, str] | None = None,
     ) -> DataFrame:
         path = self.path(layer, name)
         replaces = mode == "overwrite"
         new = self.path(layer, f"_{name}-{uuid.uuid4().hex}") if replaces else path
-        writer = df.write.mode("error" if replaces else mode)
+        writer = df.write.mode("error" if replaces else mode).options(**(options or {}))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         try:
@@ -277,11 +282,65 @@ class Store:
         """Store the violations log, one folder per table and dimension.
 
         The rebalance brings the rows of a folder together, so that not every task writes to
-        every folder, and splits a folder that holds most rows over several tasks.
+        every folder, and splits a folder that holds most rows over several tasks. Rows are sorted by
+        record, and files carry Bloom filters of the records, so that one record is found without
+        reading its folder (``record_violations``).
         """
         folders = ("table_name", "dimension")
-        return self.write(log.hint("rebalance", *folders), "governance", name,
-                          partition_by=folders)
+        placed = log.hint("rebalance", *folders).sortWithinPartitions(*folders, "record_id")
+        return self.write(placed, "governance", name, partition_by=folders, options={
+            "parquet.bloom.filter.enabled#record_id": "true",
+            "parquet.bloom.filter.adaptive.enabled": "true"})
+
+    # --- keys of earlier loads --------------------------------------------------------
+
+    def key_table(self, name: str, fresh: DataFrame, buckets: int) -> DataFrame:
+        """The stored keys of a table, by bucket. Any session finds the files by their folder."""
+        table, keys = f"{self.database}.keys_{name}", fresh.columns
+        if not self.spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
+            by = ", ".join(f"`{k}`" for k in keys)
+            self.spark.sql(
+                f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+                f"INTO {buckets} BUCKETS LOCATION '{self.path('governance', f'keys_{name}')}'")
+        return self.spark.table(table)
+
+    def known_keys(
+        self, fresh: DataFrame, name: str, keys: Sequence[str], buckets: int = KEY_BUCKETS,
+    ) -> DataFrame:
+        """Keys of ``fresh`` that an earlier load has.
+
+        Only the new keys move: they are dealt into the buckets in which the stored ones lie. Keys with
+        a NULL are no keys and never clash.
+        """
+        mine = fresh.select(*keys).na.drop().repartition(buckets, *keys).distinct()
+        return mine.join(self.key_table(name, mine, buckets), list(keys), "left_semi")
+
+    def assert_new_keys(
+        self, fresh: DataFrame, name: str, keys: Sequence[str], buckets: int = KEY_BUCKETS,
+    ) -> None:
+        """Raise when a load has one key twice, or one that an earlier load has."""
+        twice = fresh.na.drop(subset=list(keys)).groupBy(*keys).count().where("count > 1").drop("count")
+        for told, bad in (("occur twice", twice),
+                          ("are stored already", self.known_keys(fresh, name, keys, buckets))):
+            if found := bad.limit(5).collect():
+                raise ValueError(f"keys of {name} {told}: {[tuple(r) for r in found]}")
+
+    def append_keys(
+        self, fresh: DataFrame, name: str, keys: Sequence[str], buckets: int = KEY_BUCKETS,
+    ) -> None:
+        mine = fresh.select(*keys).na.drop().repartition(buckets, *keys).sortWithinPartitions(*keys)
+        self.key_table(name, mine, buckets)
+        mine.write.insertInto(f"{self.database}.keys_{name}")
+
+    def replace_keys(
+        self, rows: DataFrame, name: str, keys: Sequence[str], buckets: int = KEY_BUCKETS,
+    ) -> None:
+        """Take the keys of the rows that are stored now, as after a load that replaced the table."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.keys_{name}")
+        files, folder = _file_system(self.spark, self.path("governance", f"keys_{name}"))
+        files.delete(folder, True)
+        self.append_keys(rows, name, keys, buckets)
 
     def create_rule_views(self, rules: Sequence[Rule]) -> None:
         """Stored views ``governance.v_...``: each rule's part of the stored log."""
