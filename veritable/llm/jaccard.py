@@ -41,7 +41,9 @@ LARGE_COMPONENT = 16
 #: One more element in the longer prefix for so many of the set.
 MORE_SHARED = 10
 #: Bits of a signature for each element, rounded up to a power of two.
-BITS_PER_ELEMENT = 4
+BITS_PER_ELEMENT = 2
+#: Rows of a few numbers that are broadcast at most; beyond that, Spark chooses how to join them.
+BROADCAST_ROWS = 1_000_000
 #: Words whose hashes a task remembers, and entries that are compared at once.
 HELD_WORDS = 300_000
 COMPARED = 1 << 21
@@ -410,6 +412,18 @@ def _exact(percent: int):
 # --- the join -------------------------------------------------------------------------
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a written table of numbers if it is small, so that arrays and texts stay in place."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _distinct_groups(members: DataFrame) -> DataFrame:
+    """``token, size`` of one token for each set of members: near copies share most of their tokens."""
+    alike = F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("alike")
+    groups = members.groupBy("token").agg(F.count(F.lit(1)).alias("size"), alike).where("size > 1")
+    return groups.groupBy("size", "alike").agg(F.min("token").alias("token")).select("token", "size")
+
+
 def _tied(members: DataFrame, tied: DataFrame | None) -> DataFrame:
     """Members with their component; a set without a link is its own."""
     if tied is None:
@@ -429,9 +443,10 @@ def _seeded(rows: DataFrame, arrays: DataFrame, percent: int, tile_bytes: int) -
     tiles = written(
         rows.groupBy("token").agg(F.ceil(F.sum("n") * 8 / tile_bytes).alias("tiles"),
                                   F.count(F.lit(1)).alias("size")).where("size > 1"), "tiles")
-    dealt = rows.join(tiles, "token").withColumn(
-        "tile", F.pmod(F.xxhash64("node", "token"), "tiles")).join(
-        arrays.select("node", "hashes"), "node").select("token", "tile", "node", "hashes")
+    placed = written(rows.join(tiles, "token").select(
+        "token", F.pmod(F.xxhash64("node", "token"), "tiles").alias("tile"), "node"), "placed")
+    dealt = arrays.select("node", "hashes").join(_small(placed), "node").select(
+        "token", "tile", "node", "hashes")
     return dealt.repartition("token", "tile").sortWithinPartitions("token", "tile", "node").mapInArrow(
         _search(percent), "a long, b long")
 
@@ -508,12 +523,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = written(shared.where("base").join(kept.select("node", "n"), "node").select(
         "token", "node", "n"), "members")
     texts = plain.alias("p").join(
-        kept.alias("k"), (F.col("p.key") == F.col("k.key")) & F.col("p.id").eqNullSafe(F.col("k.id")),
+        _small(kept).alias("k"),
+        (F.col("p.key") == F.col("k.key")) & F.col("p.id").eqNullSafe(F.col("k.id")),
         "left_semi").select("text")
     arrays = written(texts.mapInArrow(_arrays(width), "node long, hashes binary, bits binary"), "arrays")
 
-    tokens = members.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = members.join(written(tokens, "tokens"), "token")
+    members = written(members.join(written(_distinct_groups(members), "groups"), "token"), "members")
     chosen = written(members.groupBy("node").agg(
         F.max(F.struct("size", "token"))["token"].alias("token"), F.min("n").alias("n")), "chosen")
     members = members.select("token", "node", "n")
