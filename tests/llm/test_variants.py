@@ -10,7 +10,7 @@ import pytest
 from veritable.llm import variants
 from veritable.llm.queries import QUERIES
 
-SMALL = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
 
 
@@ -66,15 +66,14 @@ def got(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("folder", [SMALL, "/root/testdata/sf0.01"])
-def test_query_matches_brute_force(spark, folder):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+def test_query_matches_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     wanted = expected(words_of(rows))
     assert sum(r[1] is not None for r in wanted) > 5
-    assert got(QUERIES["op11_spelling_variants"](spark, folder)) == wanted
+    assert got(QUERIES["op11_spelling_variants"](spark, FOLDER)) == wanted
 
 
-@pytest.mark.parametrize("classes, block", [(2, 7), (5, 3), (9, 2048), (None, 50)])
+@pytest.mark.parametrize("classes, block", [(2, 7), (9, 3), (None, 2048)])
 def test_any_blocks_give_the_same_pairs(spark, classes, block):
     """Anagrams, repeated letters, letters that share a bin, words of any length, full blocks."""
     rng, words = random.Random(3), {"e" * 300, "e" * 299, "e" * 300 + "x", "ф" * 8, "ф" * 7 + "\U0001d51e"}
