@@ -112,6 +112,19 @@ def test_large_buckets_are_covered_again(spark, limit):
     assert {f: got.get(f, f) for f in fps} == want
 
 
+def test_the_highest_bit_is_a_bit_like_any_other(spark):
+    """Pairs that differ in it, and in up to three more, are linked; with four more they are not."""
+    rng = random.Random(7)
+    pairs = []
+    for more in (0, 1, 2, 3, 3, 3, 4, 4):
+        fp = rng.getrandbits(64)
+        flips = sum(1 << b for b in rng.sample(range(63), more)) | 1 << 63
+        pairs.append((simhash._signed(fp), simhash._signed(fp ^ flips), more < 4))
+    df = spark.createDataFrame([(f,) for a, b, _ in pairs for f in (a, b)], "fp long")
+    tied = {r.node: r.component for r in connected_components(simhash.links(df)).collect()}
+    assert [tied.get(a, a) == tied.get(b, b) for a, b, _ in pairs] == [linked for *_, linked in pairs]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 50)] + [(7, 7)]
     tied = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()

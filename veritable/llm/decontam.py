@@ -21,6 +21,8 @@ WINDOW = 10
 SHINGLE = 5
 #: Distinct benchmark shingles (some 60 bytes each) up to which they are sent to every executor.
 BROADCAST_SHINGLES = 200_000
+#: Keys of contaminated rows up to which they are.
+BROADCAST_KEYS = 1_000_000
 
 
 def _shingles(words: Column, width: int) -> Column:
@@ -153,12 +155,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
           shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` without the rows that hold a window of the benchmark."""
+    """``docs`` without the rows that hold a window of the benchmark.
+
+    Repeated rows go or stay together; an empty table, or an empty benchmark, gives ``docs`` as they
+    are. The keys of the rows that go are broadcast behind a check of their number, so that the texts
+    that stay are not shuffled.
+    """
     hits, _ = occurrences(docs, benchmark, id_col, text_col, item_col, item_text_col, window, shingle)
     names = [f"_{c}_{'_'.join(docs.columns)}" for c in _KEY]
     doc = F.col(id_col)
     marked = docs.select(
         "*", F.coalesce(doc, F.lit(-1)).alias(names[0]),
         F.xxhash64(doc.isNull(), text_col).alias(names[1]))
-    bad = hits.select(*(F.col(c).alias(n) for c, n in zip(_KEY, names))).distinct()
+    bad = written(hits.select(*(F.col(c).alias(n) for c, n in zip(_KEY, names))).distinct(), "bad")
+    if bad.count() <= BROADCAST_KEYS:
+        bad = F.broadcast(bad)
     return marked.join(bad, names, "left_anti").select(docs.columns)

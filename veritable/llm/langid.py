@@ -177,6 +177,21 @@ def predict(model: Model, text: Column) -> Column:
     return named(text)
 
 
+#: A text whose language is ambiguous must be made of letters by this part at least.
+LETTER_SHARE = 0.2
+
+
 def determined(model: Model, text: Column) -> Column:
-    """Whether a language can be named; short and ambiguous texts keep the nearest one."""
-    return predict(model, text)["lang"] != UNDETERMINED
+    """Whether a text is in some language: it has a letter, and unless letters are few among its
+    characters (``LETTER_SHARE``), or its language is not ambiguous, it is kept.
+
+    Short texts keep the nearest language. Without a learned language nothing can be said against a
+    text, so every one with a letter is kept. Null and empty texts are not; rows are judged one by one.
+    """
+    letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
+    worded = F.coalesce(letters > 0, F.lit(False))
+    if not model.languages:
+        return worded
+    told = predict(model, text)
+    mostly = letters >= LETTER_SHARE * F.length(F.regexp_replace(text, r"\s+", ""))
+    return worded & (told["lang"] != UNDETERMINED) & (~told["ambiguous"] | mostly)

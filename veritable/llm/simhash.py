@@ -60,15 +60,20 @@ def _fold(hashes: list[int]) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = SHINGLE_WORDS) -> DataFrame:
-    """``id, fp`` (signed 64 bits) per row. Text without words, or null, has fingerprint 0."""
+    """``id, key, fp`` (signed 64 bits) per row; ``key`` is a digest of the text.
+
+    Text without words, or null, has fingerprint 0.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [_fold(h) if (h := shingle_hashes(t.as_py() or "", width)) else 0
-                   for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+                   for t in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps, pa.int64())],
+                                  ["id", "key", "fp"])
 
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(task, "id long, fp long")
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("key"),
+                        F.col(text_col).alias("text"))
+    return plain.mapInArrow(task, "id long, key long, fp long")
 
 
 def covering_masks(bits: int, radius: int = RADIUS) -> list[int]:
@@ -88,6 +93,7 @@ def _signed(x: int) -> int:
 def _linked(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs within the radius: at most one link per fingerprint."""
     links, left = [], np.ones(len(fps), bool)
+    bits = fps.view(np.uint64)  # the bits of a signed number are counted in its absolute value
     for start in range(len(fps)):
         if not left[start]:
             continue
@@ -96,7 +102,7 @@ def _linked(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
         while queue:
             at = queue.pop()
             rest = np.flatnonzero(left)
-            near = rest[np.bitwise_count(fps[rest] ^ fps[at]) <= radius]
+            near = rest[np.bitwise_count(bits[rest] ^ bits[at]) <= radius]
             left[near] = False
             queue += near.tolist()
             links += [(int(fps[at]), int(fps[j])) for j in near]
@@ -192,7 +198,9 @@ def links(fps: DataFrame, radius: int = RADIUS, limit: int = BUCKET_LIMIT) -> Da
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = SHINGLE_WORDS, radius: int = RADIUS,
                     limit: int = BUCKET_LIMIT) -> DataFrame:
-    """``id, fp, component`` per row: the smallest id among the documents that links reach.
+    """``id, key, fp, linked, component`` per row: the smallest id among the documents that links reach.
+
+    ``linked`` tells groups apart even if one id stands in several; ``key`` is a digest of the text.
 
     Equal fingerprints collapse before the search, so exact copies cost one row. Null or wordless
     text has fingerprint 0 and is linked like any other; rows without an id take part, and their
@@ -205,8 +213,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = known.where("component is not null").groupBy("component").agg(
         F.min("least").alias("component_least"))
     labels = known.join(least, "component", "left").select(
-        "fp", F.coalesce("component_least", "least").alias("component"))
-    return each.join(labels, "fp").select("id", "fp", "component")
+        "fp", F.coalesce("component", "fp").alias("linked"),
+        F.coalesce("component_least", "least").alias("component"))
+    return each.join(labels, "fp").select("id", "key", "fp", "linked", "component")
 
 
 def hexadecimal(fp):
@@ -214,20 +223,44 @@ def hexadecimal(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+#: Keys of documents to be left out that are broadcast at most, so that kept texts stay in place.
+BROADCAST_KEYS = 1_000_000
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """``docs`` without near copies: the document with the smallest id of each group stays.
 
-    Repeated rows of one id are one document and stay once. A row without an id cannot be told
-    from its copies and stays.
+    A document is an id with a text. Repeated rows of a document stay once; several texts under one id
+    are judged apart, and of those that are near copies and have the smallest id, the one with the least
+    digest stays. A row without an id cannot be told from its copies and stays. An empty table gives
+    an empty result; columns are left as they are, whatever their names.
     """
     seen = written(near_duplicates(docs, id_col, text_col, width, radius), "components")
-    copies = seen.where("id <> component").select(F.col("id").alias(id_col)).distinct()
+    first = seen.where("id = component")
+    several = written(
+        first.groupBy("linked").agg(F.min("key").alias("kept"), F.max("key").alias("last"))
+        .where("kept < last").select("linked", "kept"), "several")
+    copies = seen.where("id <> component").select("id", "key")
+    if several.head(1):
+        copies = copies.unionByName(
+            first.join(several, "linked").where("key <> kept").select("id", "key"))
+    copies = written(copies.distinct(), "copies")
     repeated = written(
-        seen.groupBy("id").count().where("id is not null and count > 1")
-        .select(F.col("id").alias(id_col)), "repeated")
-    kept = docs.join(copies, id_col, "left_anti")
+        seen.where("id is not null").groupBy("id", "key").count().where("count > 1")
+        .select("id", "key"), "repeated")
+    mine, key = f"_id_{'_'.join(docs.columns)}", f"_key_{'_'.join(docs.columns)}"
+    marked = docs.withColumns(
+        {mine: F.col(id_col).cast("long"), key: F.xxhash64(text_col)})
+
+    def rows_of(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        some = keys.select(F.col("id").alias(mine), F.col("key").alias(key))
+        if keys.count() <= BROADCAST_KEYS:
+            some = F.broadcast(some)
+        return rows.join(some, [mine, key], how)
+
+    kept = rows_of(copies, "left_anti", marked)
     if not repeated.head(1):
         return kept.select(docs.columns)
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").unionByName(once).select(docs.columns)
+    once = rows_of(repeated, "left_semi", kept).dropDuplicates([mine, key])
+    return rows_of(repeated, "left_anti", kept).unionByName(once).select(docs.columns)
