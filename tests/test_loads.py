@@ -213,3 +213,45 @@ def test_one_record_is_found_without_reading_its_folder(spark, store):  # noqa:
     between = wanted[:-1] + ("0" if wanted[-1] != "0" else "1")
     assert rows_scanned(report.record_violations(stored, "products", between)) == 0
     assert rows_scanned(report.record_violations(stored, "suppliers", wanted)) == 0
+
+
+def test_a_later_session_has_tables_views_and_functions(spark, data_dir, store):  # noqa: F811
+    """All databases are dropped, as with a catalog that ends with its session."""
+    phases.load(spark, store, raw.default_paths(data_dir), check_keys=True)
+    phases.run_assess(store)
+    spark.sql("""CREATE VIEW governance.v_accuracy_future AS
+        SELECT purchase_order_id AS record_id, 'purchase_orders' AS table_name, 'accuracy' AS dimension,
+          'future_order' AS rule_name, order_date AS detail
+        FROM raw.purchase_orders WHERE governance.parse_flexible_date(order_date) > DATE '2025-01-01'""")
+    before = {r.dimension: r.violation_count for r in phases.run_assess(store)["quality_scorecard"].where(
+        "table_name = 'purchase_orders'").collect()}
+    phases.run_standardize(store)
+    spark.sql("DROP FUNCTION governance.parse_flexible_date")
+    for layer in ("raw", "staging", "governance"):
+        spark.sql(f"DROP DATABASE {layer} CASCADE")
+
+    phases.prepare(store)
+    assert spark.sql("SELECT count(*) FROM governance.v_accuracy_future").first()[0] == 2
+    assert spark.sql("SELECT count(*) FROM governance.v_validity_orphan_supplier").first()[0] == 1
+    assert spark.table("staging.products").count() == 3
+    assert spark.table("governance.staging_rejects").count() == 0
+    assert spark.table("governance.violations_log").where("dimension = 'accuracy'").count() == before["accuracy"]
+    assert spark.sql("SELECT governance.parse_flexible_date('08/10/2025')").first()[0] == dt.date(2025, 8, 10)
+    with pytest.raises(ValueError, match="stored already"):
+        phases.load(spark, store, raw.default_paths(data_dir), "append", check_keys=True)
+    after = phases.run_assess(store)["quality_scorecard"].where("table_name = 'purchase_orders'")
+    assert {r.dimension: r.violation_count for r in after.collect()} == before
+
+
+def test_a_replacement_that_was_cut_off_is_undone(spark, store, tmp_path):  # noqa: F811
+    store.write(spark.range(5).toDF("x"), "raw", "numbers")
+    store.write(spark.range(3).toDF("x"), "raw", "others")
+    raw_folder = tmp_path / "store/raw"
+    (raw_folder / "numbers").rename(raw_folder / "_old-numbers")  # the driver was lost here
+    (raw_folder / "_old-others").mkdir()  # or here, before the old folder was deleted
+    phases.prepare(store)
+    assert store.read("raw", "numbers").count() == 5 and store.read("raw", "others").count() == 3
+    assert not list(raw_folder.glob("_old-*"))
+    (raw_folder / "numbers").rename(raw_folder / "_old-numbers")
+    assert store.write(spark.range(2).toDF("x"), "raw", "numbers").count() == 2
+    assert not list(raw_folder.glob("_old-*"))

@@ -22,10 +22,12 @@ from veritable.sources.tables import Store, TooManyRejects, write_csv
 
 
 def prepare(store: Store) -> None:
-    """Databases for the layers, and the SQL functions."""
+    """Databases, tables and views of earlier sessions, and the SQL functions."""
+    store.recover()
     store.create_layers()
     register_sql_functions(store.spark)
     register_sql_functions(store.spark, "governance")
+    store.restore()
 
 
 def load(
@@ -139,6 +141,7 @@ def run_assess(
     if exact and store.register:
         own = {rules.view_name(r) for r in catalog}
         views = evaluate.catalog_views(store.spark, "governance", without=own)
+        store.remember_views(views)
     log = store.write_log(evaluate.whole_log(frames, catalog, views), f"violations_log{suffix}")
     rows = store.write(score.row_counts(frames), "governance", "table_row_counts")
     card = store.write(

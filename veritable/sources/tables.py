@@ -8,9 +8,10 @@ that fails leaves the old one.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,9 @@ from veritable.sources.schemas import ENTITIES
 LAYERS = ("raw", "staging", "governance")
 #: Good rows and rejects leave one job, hence as files with all columns; these belong to rejects.
 REJECT = "_reject_"
+_OLD = "_old-"
+#: Folder of the statements that made tables and views, one file each, and what parts them.
+_CATALOG, _THEN = "_catalog", "\n;\n"
 #: Buckets of stored keys. A table keeps its number, so choose it for the size that it will have.
 KEY_BUCKETS = 64
 
@@ -31,10 +35,35 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def _aside(spark: SparkSession, path: str):
+    """Where the old folder waits while a new one takes its place."""
+    folder = _file_system(spark, path)[1]
+    return _file_system(spark, f"{folder.getParent().toString()}/{_OLD}{folder.getName()}")[1]
+
+
+def recover_folder(spark: SparkSession, path: str) -> None:
+    """Finish or undo a replacement whose driver was lost between its two renames."""
+    files, target = _file_system(spark, path)
+    aside = _aside(spark, path)
+    if not files.exists(aside):
+        return
+    if files.exists(target):
+        files.delete(aside, True)
+    elif not files.rename(aside, target):
+        raise OSError(f"cannot move {aside} back to {path}")
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path``; the old one goes last."""
+    """Put the folder ``new`` in the place of ``path``; the old one goes last.
+
+    These are two renames. Where a rename is one step of the file system (HDFS, local disks), a driver
+    lost between them leaves the old table beside its place, and ``Store.recover`` or the next
+    replacement puts it back; until then the table is missing, never mixed. On object stores a rename
+    copies, so readers may meet a part of a table while it is replaced.
+    """
+    recover_folder(spark, path)
     files, target = _file_system(spark, path)
-    fresh, aside = _file_system(spark, new)[1], _file_system(spark, f"{new}-old")[1]
+    fresh, aside = _file_system(spark, new)[1], _aside(spark, path)
     existed = files.exists(target)
     if existed and not files.rename(target, aside):
         raise OSError(f"cannot replace {path}")
@@ -90,6 +119,57 @@ class Store:
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
+    # --- what outlives the session's catalog ------------------------------------------
+
+    def recover(self) -> None:
+        """Put back tables whose replacement was cut off."""
+        for layer in LAYERS:
+            files, folder = _file_system(self.spark, f"{self.root.rstrip('/')}/{layer}")
+            if files.exists(folder):
+                for status in files.listStatus(folder):
+                    name = status.getPath().getName()
+                    if name.startswith(_OLD):
+                        recover_folder(self.spark, self.path(layer, name.removeprefix(_OLD)))
+
+    def _remember(self, name: str, *statements: str) -> None:
+        """Keep the statements that made a table or view next to the tables."""
+        files, file = _file_system(self.spark, self.path("governance", f"{_CATALOG}/{name}.sql"))
+        out = files.create(file, True)
+        out.write(bytearray(_THEN.join(statements).encode()))
+        out.close()
+
+    def remember_views(self, names: Iterable[str]) -> None:
+        """Keep stored views that users made by SQL, so that later sessions have them, too."""
+        for name in names:
+            if "." in name:
+                told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'")
+                self._remember(name, f"CREATE OR REPLACE VIEW {name} AS {told.first()[1]}")
+
+    def restore(self) -> None:
+        """Databases, tables and views as earlier sessions left them, for one whose catalog has none.
+
+        Tables and views that the catalog knows are left alone. Views may build on other views, in any
+        order.
+        """
+        self.create_layers()
+        files, folder = _file_system(self.spark, self.path("governance", _CATALOG))
+        if not files.exists(folder):
+            return
+        kept = self.spark.read.text(folder.toString(), wholetext=True).select(
+            F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.sql$", 1).alias("name"), "value")
+        left = {r.name: r.value for r in kept.collect() if not self.spark.catalog.tableExists(r.name)}
+        while left:
+            failed = {}
+            for name, text in left.items():
+                try:
+                    for statement in text.split(_THEN):
+                        self.spark.sql(statement)
+                except AnalysisException as error:
+                    failed[name] = error
+            if len(failed) == len(left):
+                raise next(iter(failed.values()))
+            left = {name: left[name] for name in failed}
+
     def write(
         self, df: DataFrame, layer: str, name: str,
         mode: str = "overwrite", partition_by: Sequence[str] = (),
@@ -183,8 +263,13 @@ class Store:
         self._register("governance", f"{name}_files", _in_files(fault), ("table_name", "load"),
                        self.path("governance", name))
         columns = ", ".join(f"`{REJECT}{f}` AS `{f}`" for f in fault.names)
-        self.spark.sql(f"CREATE OR REPLACE VIEW governance.{name} AS SELECT table_name, load, {columns} "
-                       f"FROM governance.{name}_files")
+        self._create_view(f"governance.{name}",
+                          f"SELECT table_name, load, {columns} FROM governance.{name}_files")
+
+    def _create_view(self, name: str, text: str) -> None:
+        made = f"CREATE OR REPLACE VIEW {name} AS {text}"
+        self.spark.sql(made)
+        self._remember(name, made)
 
     def _publish(self, new: str, path: str, replaces: bool) -> None:
         """Put a written folder in the place of a table, or its files next to the table's own."""
@@ -229,7 +314,11 @@ class Store:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
             parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
-            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts}LOCATION '{path}'")
+            made = [f"CREATE TABLE {table} ({columns}) USING parquet {parts}LOCATION '{path}'"]
+            if partition_by:
+                made.append(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+            self.spark.sql(made[0])
+            self._remember(table, *made)
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
@@ -300,9 +389,10 @@ class Store:
         if not self.spark.catalog.tableExists(table):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
             by = ", ".join(f"`{k}`" for k in keys)
-            self.spark.sql(
-                f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
-                f"INTO {buckets} BUCKETS LOCATION '{self.path('governance', f'keys_{name}')}'")
+            made = (f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+                    f"INTO {buckets} BUCKETS LOCATION '{self.path('governance', f'keys_{name}')}'")
+            self.spark.sql(made)
+            self._remember(table, made)
         return self.spark.table(table)
 
     def known_keys(
@@ -345,8 +435,8 @@ class Store:
     def create_rule_views(self, rules: Sequence[Rule]) -> None:
         """Stored views ``governance.v_...``: each rule's part of the stored log."""
         for rule in rules:
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW governance.{view_name(rule)} AS "
+            self._create_view(
+                f"governance.{view_name(rule)}",
                 "SELECT record_id, table_name, dimension, rule_name, detail "
                 f"FROM governance.violations_log WHERE table_name = '{rule.table}' "
                 f"AND dimension = '{rule.dimension}' AND rule_name = '{rule.name}'")
