@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.01"
 def quantize(v):
     if v is None or any(x is None or not math.isfinite(x) for x in v):
         return None
-    return [math.floor(256 * float(x)) for x in v]
+    return [math.floor(256 * float(x)) for x in v]  # Python integers have no bound
 
 
 def brute(rows, is_query):
@@ -40,8 +40,8 @@ def test_edge_cases(spark, blocks):
             (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, []), (8, [-3.0]), (9, [0.1, 0.2, 0.3]),
             (None, [9.0, 9.0]), (10, [0.0, 0.0]), (11, [1e4, -1e4]), (12, [0.003, -0.003])]
     df = spark.createDataFrame([(i, v, 5) for i, v in rows], "vec_id long, embedding array<double>, score int")
-    got = mtree.search(df, df, block_rows=blocks[0], block_queries=blocks[1])
-    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: True)
+    got = mtree.search(df, df, block_rows=blocks[0], block_queries=blocks[1], cell_rows=blocks[0])
+    assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, lambda i: True)
 
 
 def test_empty_and_single(spark):
@@ -61,4 +61,40 @@ def test_trees_with_many_ties_and_clusters():
         for at in range(0, n, 97):
             scores = vectors @ vectors[at]
             want = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != ids[at])[:5]
-            assert tree.search(vectors[at], int(ids[at]), 5) == [(-s, i) for s, i in want]
+            found, visited = tree.search(vectors[at], int(ids[at]), 5)
+            assert found == [(-s, i) for s, i in want] and visited <= n
+
+
+def test_large_components_give_exact_scores_or_an_error(spark):
+    """Products of 2 ** 53 to 2 ** 63 are exact; a best score beyond a long is an error, others are not."""
+    schema = "vec_id long, embedding array<double>"
+    rows = [(i, [3e6 + i, 1.0, -2e6 + 7 * i]) for i in range(6)] + [(9, [-3e6, 0.5, 2e6])]
+    df = spark.createDataFrame(rows, schema)
+    got = mtree.search(df, df, cell_rows=2)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, lambda i: True)
+    for large in (4e7, 1e30):
+        both = spark.createDataFrame([(1, [large, 1.0]), (2, [-large, 2.0]), (3, [large, 0.0])], schema)
+        with pytest.raises(Exception, match="does not fit a long"):
+            mtree.search(both, both).collect()
+        apart = [(0, [0.0, 1.0]), (1, [large, 1.0]), (2, [-large, 2.0])]
+        df = spark.createDataFrame(apart, schema)
+        got = mtree.search(df, df.where("vec_id = 0")).collect()
+        assert sorted(tuple(r)[:4] for r in got) == brute(apart, lambda i: i == 0)
+    with pytest.raises(OverflowError):
+        mtree.search(*[spark.createDataFrame([(1, [1e200])], schema)] * 2)
+
+
+def test_queries_visit_few_rows(spark):
+    """Clustered vectors: most cells are out of reach, most pages are never opened."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16)) * 4
+    points = centres[rng.integers(0, 40, 8000)] + rng.normal(size=(8000, 16)) * 0.2
+    df = spark.createDataFrame(list(enumerate(points.tolist())), "vec_id long, embedding array<double>")
+    got = mtree.search(df, df.where("vec_id % 200 = 0"), cell_rows=200).collect()
+    whole = np.floor(256 * points)
+    for r in got:
+        if r["rank"] == 1:
+            scores = whole @ whole[r.query_id]
+            scores[r.query_id] = -np.inf
+            assert r.score == scores.max() and 5 <= r.visited < len(points)
+    assert np.mean([r.visited for r in got]) < len(points) / 4

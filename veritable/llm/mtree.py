@@ -1,21 +1,26 @@
 """Exact top-k by inner product in M-trees.
 
 With one more coordinate, sqrt(M - |x|^2), all vectors lie on a sphere, and the largest inner product
-with a query is the least distance to it. Rows are cut into blocks; a task builds the tree of its
-block: leaf pages around pivots, and pages of pages above them, each with a covering radius and its
-distance to the parent's pivot. A query opens the node with the best bound first and stops when no
-bound beats its k-th score. Stored distances rule out nodes and rows before a distance is computed.
-Scores are integer products, and bounds get slack for rounding, so ties are never cut off.
+with a query is the least distance to it. The space is cut into cells around pivots; each cell has its
+covering radius and its tree, built once and stored: leaf pages around pivots, and pages of pages above
+them, each with a covering radius and its distance to the parent's pivot. A query is run through the
+tree of its nearest cell; its k-th score there decides by the radii which other cells it has to visit.
+In a tree it opens the node with the best bound first and stops when no bound beats its k-th score.
+Stored distances rule out nodes and rows before a distance is computed. Scores are exact integer
+products, and bounds get slack for rounding, so ties are never cut off.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,15 +31,31 @@ PAGE = 64
 #: Vectors that one tree holds, and queries that one task runs through it.
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 2_048
+#: Rows for one more cell, and the most bytes that all pivots may take; every task holds them.
+CELL_ROWS = 1024
+PIVOT_BYTES = 32 << 20
 SCALE = 256
+#: Stands for scores that are far from fitting a long.
+BEYOND = 10 ** 37
 
 
 def quantized(vector: Column) -> Column:
-    """floor(256 x) per component; null if the vector is null or holds null, NaN or infinity."""
+    """floor(256 x) per component, as a double, which holds it exactly; null if the vector is null or
+    holds null, NaN or infinity. From 2 ** 53 on every double is an integer."""
     x = vector.cast("array<double>")
     good = vector.isNotNull() & F.forall(x, lambda v: F.coalesce(
         ~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
-    return F.when(good, F.transform(x, lambda v: F.floor(v * SCALE)))
+    return F.when(good, F.transform(x, lambda v: F.when(
+        F.abs(v) < 2.0 ** 44, F.floor(v * SCALE).cast("double")).otherwise(v * SCALE)))
+
+
+def products(rows: np.ndarray, query: np.ndarray) -> list[int]:
+    """Exact inner products of vectors of integers, in the narrowest arithmetic that holds them."""
+    most = float(np.abs(rows).max(initial=0.0)) * float(np.abs(query).max(initial=0.0)) * max(len(query), 1)
+    if most < 2.0 ** 53:
+        return (rows @ query).astype(np.int64).tolist()
+    wide = [int(x) for x in query]
+    return [sum(int(x) * y for x, y in zip(row, wide) if x and y) for row in rows.tolist()]
 
 
 @dataclass
@@ -95,50 +116,53 @@ def build(points: np.ndarray, page: int = PAGE) -> Node | None:
 
 
 class Tree:
-    """The vectors of a block, searched for the largest integer inner products."""
+    """Some vectors of whole doubles, searched for the largest integer inner products.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE):
+    ``most`` is the square of the sphere's radius, at least the largest squared length.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE, most: float | None = None):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        plain = self.vectors.astype(np.float64)
-        squares = (plain ** 2).sum(axis=1)
-        self.most = float(squares.max(initial=0.0))
-        self.root = build(np.column_stack([plain, np.sqrt(self.most - squares)]), page)
-
-    def search(self, query: np.ndarray, own: int | None, top: int) -> list[tuple[int, int]]:
-        """``score, id`` of the best rows but ``own``, best first; ties go to the smaller id."""
+        self.ids, self.vectors = ids[order], vectors[order].astype(np.float64)
+        self.most = float((self.vectors ** 2).sum(axis=1).max(initial=0.0)) if most is None else most
+        self.root = build(lifted(self.vectors, self.most), page)
+
+    def search(self, query: np.ndarray, own: int | None, top: int,
+               known: float = -math.inf) -> tuple[list[tuple[int, int]], int]:
+        """``score, id`` of the best rows but ``own``, best first, and how many rows were looked at.
+
+        Ties go to the smaller id. Rows that score less than ``known`` need not be found.
+        """
         if self.root is None:
-            return []
+            return [], 0
         at = np.append(query.astype(np.float64), 0.0)
         total = float(at @ at) + self.most
-        slack = 1e-7 * (1 + total)
         best: list[tuple[int, int]] = []
+        visited = 0
 
-        def reach() -> float:
-            """No row farther than this can be among the best."""
-            if len(best) < top:
-                return math.inf
-            return math.sqrt(max(0.0, total - 2 * best[0][0] + 2 * slack)) + math.sqrt(slack) * 1e-3
+        def limit() -> float:
+            return reach(total, max(known, best[0][0] if len(best) == top else -math.inf))
 
         start = float(np.sqrt(((self.root.pivot - at) ** 2).sum()))
         heap = [(max(0.0, start - self.root.radius), 0, start, self.root)]
         pushed = 0
         while heap:
             bound, _, to_pivot, node = heapq.heappop(heap)
-            limit = reach()
-            if bound > limit:
+            far_off = limit()
+            if bound > far_off:
                 break
             if node.rows is None:
-                near = np.flatnonzero(np.abs(to_pivot - node.to_pivot) - node.radii <= limit)
+                near = np.flatnonzero(np.abs(to_pivot - node.to_pivot) - node.radii <= far_off)
                 far = _distances(node.pivots[near], at)
                 for i, d in zip(near.tolist(), far.tolist()):
                     child = node.children[i]
-                    if d - child.radius <= limit:
+                    if d - child.radius <= far_off:
                         pushed += 1
                         heapq.heappush(heap, (max(0.0, d - child.radius), pushed, d, child))
                 continue
-            near = node.rows[np.abs(to_pivot - node.to_pivot) <= limit]
-            for score, row in zip((self.vectors[near] @ query).tolist(), near.tolist()):
+            near = node.rows[np.abs(to_pivot - node.to_pivot) <= far_off]
+            visited += len(near)
+            for score, row in zip(products(self.vectors[near], query), near.tolist()):
                 found = (score, -int(self.ids[row]))
                 if self.ids[row] == own:
                     continue
@@ -146,58 +170,208 @@ class Tree:
                     heapq.heappush(best, found)
                 elif found > best[0]:
                     heapq.heapreplace(best, found)
-        return [(s, -i) for s, i in sorted(best, reverse=True)]
+        return [(s, -i) for s, i in sorted(best, reverse=True)], visited
+
+
+def lifted(vectors: np.ndarray, most: float) -> np.ndarray:
+    """Vectors with the coordinate that puts them on the sphere."""
+    return np.column_stack([vectors, np.sqrt(np.maximum(most - (vectors ** 2).sum(axis=1), 0))])
+
 
+def reach(total, score):
+    """No row farther than this from a query has ``score`` or more."""
+    slack = 1e-7 * (1 + total)
+    return np.sqrt(np.maximum(0.0, total - 2 * score + 2 * slack)) + np.sqrt(slack) * 1e-3
 
-def _blocked(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+
+# --- cells ----------------------------------------------------------------------------
+
+
+def _plain(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("long").alias("id"),
                           quantized(F.col(vector_col)).alias("v")).where("id is not null and v is not null")
 
 
-def _stack(vectors: pd.Series, width: int) -> np.ndarray:
+def _stack(vectors: list, width: int) -> np.ndarray:
     """Rows of equal length; missing components count as zero."""
-    out = np.zeros((len(vectors), width), np.int64)
+    out = np.zeros((len(vectors), width))
     for row, v in zip(out, vectors):
         row[:len(v)] = v
     return out
 
 
-def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, id_col: str = "vec_id",
-           vector_col: str = "embedding", block_rows: int = BLOCK_ROWS,
-           block_queries: int = BLOCK_QUERIES) -> DataFrame:
-    """``query_id, rank, id, score``: each query's ``top`` rows with another id than its own.
-
-    Rows and queries are dealt into blocks by a hash of id and vector, so equal vectors and a hot
-    id spread; every query block meets every row block in one task of bounded size, which gives
-    out at most ``top`` rows per query. Null ids, null vectors and vectors with null or
-    non-finite components take no part; of vectors of unequal length the shorter ones count as
-    padded with zeros. Repeated rows are candidates each; equal queries are one query.
-    """
-    rows = written(_blocked(vectors, id_col, vector_col), "vectors")
-    asked = written(_blocked(queries, id_col, vector_col).distinct(), "queries")
-    row_blocks = max(1, math.ceil(rows.count() / block_rows))
-    query_blocks = max(1, math.ceil(asked.count() / block_queries))
+def _vectors(column: pa.Array, width: int) -> np.ndarray:
+    return _stack([v.values.to_numpy() for v in column], width)
+
+
+@dataclass(frozen=True)
+class Space:
+    """What all tasks know: width of the vectors, square of the sphere's radius, and the pivots."""
 
-    def dealt(df: DataFrame, blocks: int, others: int, name: str, other: str) -> DataFrame:
-        spread = F.xxhash64("id", "v", F.monotonically_increasing_id())
-        return df.select("*", F.pmod(spread, F.lit(blocks)).alias(name)).select(
-            "*", F.explode(F.sequence(F.lit(0), F.lit(others - 1)).cast("array<bigint>")).alias(other))
+    width: int
+    most: float
+    pivots: np.ndarray
 
-    def run(key, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+    def distances(self, points: np.ndarray) -> np.ndarray:
+        """From each point to each pivot."""
+        out = np.empty((len(points), len(self.pivots)))
+        for row, point in zip(out, points):
+            row[:] = _distances(self.pivots, point)
+        return out
+
+
+def _space(rows: DataFrame, cell_rows: int) -> Space | None:
+    square = F.aggregate("v", F.lit(0.0), lambda done, x: done + x * x)
+    told = rows.agg(F.max(F.size("v")).alias("width"), F.max(square).alias("most"),
+                    F.count(F.lit(1)).alias("n")).first()
+    if not told.n:
+        return None
+    if not math.isfinite(told.most):
+        raise OverflowError("squared lengths of the vectors are beyond a double")
+    cells = min(math.ceil(told.n / cell_rows), max(1, PIVOT_BYTES // (8 * (told.width + 1))))
+    chosen = rows.select("v", F.xxhash64("id", "v").alias("h")).orderBy("h").limit(cells).collect()
+    points = _stack([r.v for r in chosen], told.width)
+    return Space(told.width, told.most, np.unique(lifted(points, told.most), axis=0))
+
+
+def _dealt(space):
+    """``id, v`` → the nearest cell and the distance to its pivot."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = space.value
+        for batch in batches:
+            far = here.distances(lifted(_vectors(batch.column(1), here.width), here.most))
+            cell = far.argmin(axis=1) if len(far) else np.empty(0, np.int64)
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(cell.astype(np.int64)),
+                 pa.array(far[np.arange(len(far)), cell])], ["id", "v", "cell", "far"])
+
+    return task
+
+
+def _built(space, page: int):
+    def build_one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        here = space.value
+        tree = Tree(rows["id"].to_numpy(), _stack(list(rows["v"]), here.width), page, here.most)
+        return pd.DataFrame({"cell": [key[0]], "tile": [key[1]], "tree": [pickle.dumps(tree)]})
+
+    return build_one
+
+
+def _visits(space, radii: dict[int, float], home: bool):
+    """``id, v, digest, known`` → a row per cell to visit: the nearest, or later all others in reach."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = space.value
+        cells = np.array(sorted(radii))
+        radius = np.array([radii[c] for c in cells.tolist()])
+        for batch in batches:
+            vectors = _vectors(batch.column(1), here.width)
+            if not len(vectors):
+                continue
+            at = np.column_stack([vectors, np.zeros(len(vectors))])
+            bound = np.maximum(here.distances(at)[:, cells] - radius, 0)
+            first = bound.argmin(axis=1)
+            if home:
+                row, place = np.arange(len(at)), first
+            else:
+                known = batch.column(3).to_numpy(zero_copy_only=False)
+                inside = bound <= reach((at ** 2).sum(axis=1) + here.most, known)[:, None]
+                inside[np.arange(len(at)), first] = False
+                row, place = np.nonzero(inside)
+            taken = pa.array(row)
+            yield pa.record_batch([*(c.take(taken) for c in batch.columns), pa.array(cells[place])],
+                                  ["id", "v", "digest", "known", "cell"])
+
+    return task
+
+
+_FOUND = "query_id long, digest long, id long, score string, visited long"
+
+
+def _searched(space, top: int):
+    def run(key: tuple, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(ask) and len(have):
-            width = max(*map(len, ask["v"]), *map(len, have["v"]))
-            tree = Tree(have["id"].to_numpy(), _stack(have["v"], width))
-            out = [(int(own), int(digest), found, score)
-                   for own, digest, q in zip(ask["id"], ask["digest"], _stack(ask["v"], width))
-                   for score, found in tree.search(q, int(own), top)]
-        return pd.DataFrame(out, columns=["query_id", "digest", "id", "score"]).astype("int64")
-
-    best = (
-        dealt(asked, query_blocks, row_blocks, "qb", "rb").withColumn("digest", F.xxhash64("v"))
-        .groupBy("qb", "rb")
-        .cogroup(dealt(rows, row_blocks, query_blocks, "rb", "qb").groupBy("qb", "rb"))
-        .applyInPandas(run, "query_id long, digest long, id long, score long"))
-    order = Window.partitionBy("query_id", "digest").orderBy(F.desc("score"), "id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
-        "query_id", "rank", "id", "score")
+        for packed in have["tree"]:
+            tree = pickle.loads(packed)
+            queries = _stack(list(ask["v"]), space.value.width)
+            for own, digest, known, q in zip(ask["id"], ask["digest"], ask["known"], queries):
+                found, visited = tree.search(q, int(own), top, known)
+                # scores are text until the best are known, since only these have to fit a long
+                out += [(int(own), int(digest), i, str(max(-BEYOND, min(s, BEYOND))), 0)
+                        for s, i in found]
+                out.append((int(own), int(digest), None, None, visited))
+        return pd.DataFrame(out, columns=["query_id", "digest", "id", "score", "visited"]).astype(
+            {"id": "Int64"})
+
+    return run
+
+
+def _best(found: DataFrame, top: int) -> DataFrame:
+    """The ``top`` rows of each query with their rank; a query has few rows in each cell."""
+    order = Window.partitionBy("query_id", "digest").orderBy(F.desc("number"), "id")
+    return found.where("score is not null").withColumn("number", F.col("score").cast("decimal(38,0)")).select(
+        "*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= top)
+
+
+def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, id_col: str = "vec_id",
+           vector_col: str = "embedding", block_rows: int = BLOCK_ROWS,
+           block_queries: int = BLOCK_QUERIES, cell_rows: int = CELL_ROWS,
+           page: int = PAGE) -> DataFrame:
+    """``query_id, rank, id, score, visited``: each query's ``top`` rows with another id than its own.
+
+    ``visited`` says how many rows were multiplied with the query. Pivots are rows chosen by a hash; a
+    cell of over ``block_rows`` rows, as around a hot vector, is dealt over several trees, and its
+    queries over several tasks. Null ids, null vectors and vectors with null or non-finite components
+    take no part; of vectors of unequal length the shorter ones count as padded with zeros. Repeated
+    rows are candidates each; equal queries are one query. A score among the best that does not fit a
+    long raises an error.
+    """
+    context = vectors.sparkSession.sparkContext
+    rows = written(_plain(vectors, id_col, vector_col), "vectors")
+    empty = rows.limit(0).selectExpr(
+        "id AS query_id", "CAST(0 AS INT) AS rank", "id", "id AS score", "id AS visited")
+    asked = written(_plain(queries, id_col, vector_col).distinct().select(
+        "id", "v", F.xxhash64("v").alias("digest"), F.lit(-math.inf).alias("known")), "queries")
+    whole = _space(rows.unionByName(asked.select("id", "v")), cell_rows)
+    if whole is None:
+        return empty
+    space = context.broadcast(whole)
+    dealt = written(rows.mapInArrow(_dealt(space), "id long, v array<double>, cell long, far double"), "cells")
+    sizes = dealt.groupBy("cell").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("n")).collect()
+    if not sizes:
+        return empty
+    radii = {r.cell: r.far * (1 + 1e-9) + 1e-9 for r in sizes}  # as many as pivots
+    tiles = F.coalesce(*[F.when(F.col("cell") == r.cell, math.ceil(r.n / block_rows)) for r in sizes
+                         if r.n > block_rows], F.lit(1))
+    spread = F.pmod(F.xxhash64("id", "v", F.monotonically_increasing_id()), tiles).alias("tile")
+    trees = written(
+        dealt.select("cell", spread, "id", "v").groupBy("cell", "tile").applyInPandas(
+            _built(space, page), "cell long, tile long, tree binary"), "trees")
+
+    def run(ask: DataFrame, home: bool) -> DataFrame:
+        pairs = written(ask.select("id", "v", "digest", "known").mapInArrow(
+            _visits(space, radii, home), "id long, v array<double>, digest long, known double, cell long"),
+            "visits")
+        blocks = written(pairs.groupBy("cell").agg(
+            F.ceil(F.count(F.lit(1)) / block_queries).alias("blocks")), "blocks")
+        placed = pairs.join(blocks, "cell").withColumn(
+            "block", F.pmod(F.xxhash64("id", "digest"), "blocks"))
+        met = placed.join(trees.select("cell", "tile"), "cell")
+        each = trees.join(blocks, "cell").select(
+            F.col("cell").alias("c"), F.col("tile").alias("t"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("b"), "tree")
+        return written(
+            met.groupBy("cell", "tile", "block").cogroup(each.groupBy("c", "t", "b"))
+            .applyInPandas(_searched(space, top), _FOUND), "found")
+
+    near = run(asked, True)
+    least = _best(near, top).where(F.col("rank") == top).select(
+        F.col("query_id").alias("id"), "digest", F.col("number").cast("double").alias("kth"))
+    again = written(asked.drop("known").join(least, ["id", "digest"], "left").withColumn(
+        "known", F.coalesce("kth", F.lit(-math.inf))), "queries")
+    found = near.unionByName(run(again, False))
+    looked = found.groupBy("query_id", "digest").agg(F.sum("visited").alias("visited"))
+    best = _best(found.drop("visited"), top).join(looked, ["query_id", "digest"])
+    fits = F.abs("number") < F.lit(2 ** 63 - 1).cast("decimal(38,0)")
+    told = F.raise_error(F.concat_ws(" ", F.lit("a score does not fit a long:"), "query_id", "id", "score"))
+    return best.select("query_id", "rank", "id", F.when(fits, F.col("number").cast("long")).otherwise(
+        told.cast("long")).alias("score"), "visited")

@@ -83,7 +83,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     found = mtree.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
-    return found.withColumnRenamed("id", "vec_id")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 def piece_model(name: str = PIECES) -> bytes:
