@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution broadcasts by measured size and splits hot keys; both are defaults, stated
@@ -23,4 +27,25 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
         builder = builder.master(master)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(session: SparkSession) -> None:
+    """Send this package to the Python workers, which need not find it on a path of their own.
+
+    Spark's driver serves the file for as long as the session lasts.
+    """
+    if session.sparkContext.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(session.sparkContext.applicationId)
+    package = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="veritable-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(packed, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    session.sparkContext.addPyFile(str(packed))
