@@ -184,4 +184,7 @@ ORACLES: dict[str, str] = {
     "op3_decontamination": oracles.DECONTAMINATION,
     "op6_top_k": oracles.TOP_K,
     "op10_warc": oracles.WARC,
+    "op11_spelling_variants": oracles.VARIANTS,
+    "op12_periodic_runs": oracles.PERIODIC_RUNS,
+    "op13_jaccard_join": oracles.JACCARD,
 }
