@@ -103,3 +103,36 @@ def test_spelled_out_names():
     assert labels(f"{by}-NonCommercial-NoDerivatives 4.0") == [("cc-by-nc-nd", 0, 10)]
     assert labels(f"{by} Non-Commercial Share Alike") == [("cc-by-nc-sa", 0, 10)]
     assert labels("Available under the Open Database License") == [("odbl", 0, 6)]
+
+
+def test_wordings_outside_the_families():
+    """Sentences that the lists were not made from one by one: found, under these labels."""
+    cases = {
+        "Licensed under either of Apache-2.0 or MIT at your option": {"apache", "mit"},
+        "provided under GPLv3": {"gpl"},
+        "dual licensed GPLv2 and GPLv3": {"gpl"},
+        "Creative Commons BY-SA 4.0": {"cc-by-sa"},
+        "SPDX-License-Identifier: 0BSD": {"0bsd"},
+        "SPDX-License-Identifier: BSL-1.0": {"bsl"},
+        "This is free and unencumbered software released into the public domain.": {"unlicense"},
+        "Tous droits r\u00e9serv\u00e9s": {"reserved"},
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0": {"apache"},
+        "https://creativecommons.org/licenses/by-nc-sa/4.0/": {"cc-by-nc-sa"},
+        "No part of this book may be reproduced": {"proprietary"},
+        "subject to the terms of the Mozilla Public License, v. 2.0": {"mpl"},
+    }
+    for text, wanted in cases.items():
+        assert wanted <= {label for label, _, _ in labels(text)}, (text, labels(text))
+
+
+def test_plain_prose_has_no_license():
+    for text in ("The apache helicopter landed near the lake.", "She took a common road to the open door.",
+                 "Boost your mood with a walk, and python snakes are not venomous.", "He paid by card.",
+                 "The general public may visit the museum free of charge.", "mit dem Zug nach Hause",
+                 "An academic wrote a free book on elastic bands and curl patterns."):
+        assert labels(text) == [], text
+
+
+def test_signatures_are_distinct():
+    assert len(licenses.SIGNATURES) > 150
+    assert len({s[1] for s in licenses.SIGNATURES}) == len(licenses.SIGNATURES)

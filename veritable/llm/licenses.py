@@ -2,8 +2,8 @@
 
 A rule is a regular expression over normalized words, with groups of keywords, one of each of which
 must occur before it is tried, a priority and a weight. A detection inside the interval of a kept one of at least the same
-priority is suppressed. The rules are a few phrasings for each license family, so they number in the
-hundreds without being listed one by one.
+priority is suppressed. The rules are a few phrasings for each license family, and signatures written one by one
+(``license_rules``) for notices, identifiers, choices of licenses and licenses outside the families.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritable.llm.license_rules import SIGNATURES
+
 #: Phrases whose every place counts, and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
@@ -122,7 +124,7 @@ def rules() -> tuple[Rule, ...]:
         for label, name, own, versioned in FAMILIES:
             text = phrase.format(name=name, version=VERSION if versioned else "")
             made.append((label, text, (keyword, own), priority, weight))
-    made += [(label, text, (keyword,), *rest) for label, text, keyword, *rest in NOTICES]
+    made += [(label, text, (keyword,), *rest) for label, text, keyword, *rest in (*NOTICES, *SIGNATURES)]
     return tuple(sorted(
         (Rule(label, re.compile(f" (?:{text})(?= )".encode()), tuple(_group(k) for k in keys),
               priority, weight) for label, text, keys, priority, weight in made),
@@ -200,7 +202,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     ``base`` holds every place of a base phrase; rules never remove it. ``found`` holds the
     detections left after suppression. The score is 1 less the chance that all of them err: 0
-    without any. Null counts as empty text. A text of any length is scanned whole.
+    without any. Null counts as empty text. A text of any length is scanned whole. Repeated rows
+    stay repeated; an empty table gives an empty result.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
