@@ -75,3 +75,24 @@ def test_bounds(spark, monkeypatch):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert urlfilter.judge(empty, [0.0] * urlfilter.DIMENSIONS + [0.0]).collect() == []
+
+
+def test_precision_and_recall_on_held_out_labels(spark):
+    """A fifth of the labelled urls, of which nothing is learned."""
+    weights = urlfilter.train(urlfilter.labelled_urls(spark, held_out=False))
+    held = urlfilter.labelled_urls(spark, held_out=True)
+    told = held.select("blocked", (urlfilter.probability(
+        weights, urlfilter.host(F.col("url")), urlfilter.path(F.col("url"))) >= 0.5).alias("said")).collect()
+    caught = sum(r.said and r.blocked for r in told)
+    assert len(told) > 50
+    assert caught >= 0.65 * sum(r.said for r in told), "precision"
+    assert caught >= 0.65 * sum(r.blocked for r in told), "recall"
+
+
+def test_labels_are_varied_and_none_is_a_page_of_the_tables(spark):
+    rows = urlfilter.labelled_urls(spark).collect()
+    assert len(rows) > 300 and len({r.url for r in rows}) == len(rows)
+    hosts = {r.url.split("/")[2] for r in rows}
+    pages = {u.url.split("/")[2] for u in spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+             if u.url and "://" in u.url}
+    assert not hosts & pages
