@@ -95,3 +95,15 @@ def test_places_that_share_a_header_end(spark, tmp_path):
     content = f"WARC/1.0\r\nWARC-Type: response\r\n{head}\r\nab\r\n\r\n"
     (tmp_path / "part-0").write_bytes(content.encode())
     assert [(r.length, bytes(r.payload)) for r in warc.read(spark, str(tmp_path)).collect()] == [(2, b"ab")]
+
+
+def test_files_are_bounded_in_bytes(spark, tmp_path):
+    """Payloads of 100 bytes to 200 KB: no file is over the bytes of 500 records of the least level."""
+    payloads = [(i, "u", "x" * (100 if i % 10 else 1000 * (1 + i % 200)) + str(i)) for i in range(1500)]
+    pages = spark.createDataFrame(payloads, "page_id long, url string, html string").coalesce(1)
+    path = tmp_path / "bounded"
+    warc.write(pages, str(path), record_bytes=2000)
+    sizes = [f.stat().st_size for f in path.glob("part-*")]
+    assert max(sizes) <= 500 * 2000 and len(sizes) > 5
+    got = warc.resolved(warc.read(spark, str(path), payloads=False)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute([(i, h) for i, _, h in payloads])

@@ -23,8 +23,15 @@ from veritable.sources.scratch import written
 
 MAGIC = b"WARC/1.0\r\n"
 RECORD_END = "\r\n\r\n"
-#: Records of one file, which bounds the rounds and what a task reads at once.
+#: Records of one file, which bounds the rounds.
 RECORDS_PER_FILE = 500
+#: Bytes of a record up to which a file holds that many; records of up to twice the size lie in files of
+#: half as many, and so on. So a file, which a task reads whole, has some 130 MB at most, unless one
+#: record alone has more.
+RECORD_BYTES = 1 << 18
+HEADER_BYTES = 1 << 10
+#: So many sizes of records: the last ones lie in a file each.
+LEVELS = 10
 
 
 def _digest(payload: bytes) -> str:
@@ -56,8 +63,8 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-          payload_col: str = "html", least: int = 0) -> None:
-    """Write a record per row into WARC files under ``path``.
+          payload_col: str = "html", least: int = 0, record_bytes: int = RECORD_BYTES) -> None:
+    """Write a record per row into WARC files under ``path``, which are bounded in records and bytes.
 
     Of rows with equal payloads of at least ``least`` bytes, those with the largest id hold the
     payload, the others revisit it. Null payloads are empty. A missing id is smaller than any
@@ -65,19 +72,27 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(payload_col), F.lit("")).alias("html"))
+    whole = F.octet_length("html") + F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES
+    level = F.ceil(F.log2(whole / record_bytes)).cast("int")
+    level = F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS - 1))
     sized = rows.select("*", F.sha1(F.col("html").cast("binary")).alias("sha"),
-                        F.octet_length("html").alias("bytes"))
+                        F.octet_length("html").alias("bytes"), level.alias("level"))
+    keys = written(sized.select("sha", "bytes", "page", "level"), "sizes")
     copies = written(
-        sized.where(F.col("bytes") >= least).groupBy("sha")
+        keys.where(F.col("bytes") >= least).groupBy("sha")
         .agg(F.max("page").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
         .select("sha", "last"), "copies")
     told = sized.join(copies, "sha", "left").select(
-        "page", "url", "html",
+        "level", "page", "url", "html",
         (F.col("last").isNotNull() & (F.col("bytes") >= least)
          & ~F.col("page").eqNullSafe(F.col("last"))).alias("revisit"),
         F.col("last").alias("refers"))
-    told.mapInArrow(_records, "value string").write.option("lineSep", RECORD_END).option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    levels = sorted(r.level for r in keys.select("level").distinct().collect()) or [0]
+    for k in levels:
+        some = told if len(levels) == 1 else told.where(F.col("level") == k)
+        some.drop("level").mapInArrow(_records, "value string").write.mode(
+            "error" if k == levels[0] else "append").option("lineSep", RECORD_END).option(
+            "maxRecordsPerFile", max(1, RECORDS_PER_FILE >> k)).text(path)
 
 
 def _header(content: bytes, begin: int, end: int) -> dict[str, tuple[int, str]]:
@@ -166,7 +181,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """``page, type, digest, refers, length, payload`` of every record of the files under ``path``.
 
     A file is read by one task, so files should stay small enough for a task's memory; ``write``
-    bounds their records. A file whose records do not reach its last byte raises an error.
+    bounds their records and bytes. A file whose records do not reach its last byte raises an error.
     Without ``payloads`` the files are read once and the payloads stay null.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(
