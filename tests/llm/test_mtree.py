@@ -98,3 +98,26 @@ def test_queries_visit_few_rows(spark):
             scores[r.query_id] = -np.inf
             assert r.score == scores.max() and 5 <= r.visited < len(points)
     assert np.mean([r.visited for r in got]) < len(points) / 4
+
+
+def test_queries_together_equal_brute_force(monkeypatch):
+    """Many queries share one walk: pages are multiplied by fewer calls than there are queries."""
+    rng = np.random.default_rng(9)
+    calls, plain = [], mtree.products
+    monkeypatch.setattr(mtree, "products", lambda *a: calls.append(1) or plain(*a))
+    for scale in (1, 10 ** 8):  # beyond 2 ** 53 as well
+        vectors = rng.integers(-50, 50, (600, 6)) * float(scale)
+        vectors[::7] = vectors[0]
+        ids = rng.permutation(600)
+        tree = mtree.Tree(ids, vectors, page=16)
+        asked = vectors[:200]
+        scores = [[sum(int(a) * int(b) for a, b in zip(q, v)) for v in vectors] for q in asked]
+        want = [sorted((-s, int(i)) for s, i in zip(each, ids) if i != own)[:5]
+                for each, own in zip(scores, ids)]
+        calls.clear()
+        found = tree.search_all(asked, ids[:200].tolist(), 5, np.full(200, -math.inf))
+        assert [each for each, _ in found] == [[(-s, i) for s, i in w] for w in want]
+        assert len(calls) < len(asked) and all(5 <= seen <= 600 for _, seen in found)
+        kth = np.array([float(-w[-1][0]) for w in want])
+        again = tree.search_all(asked, ids[:200].tolist(), 5, kth)
+        assert [each for each, _ in again] == [each for each, _ in found]

@@ -5,9 +5,10 @@ with a query is the least distance to it. The space is cut into cells around piv
 covering radius and its tree, built once and stored: leaf pages around pivots, and pages of pages above
 them, each with a covering radius and its distance to the parent's pivot. A query is run through the
 tree of its nearest cell; its k-th score there decides by the radii which other cells it has to visit.
-In a tree it opens the node with the best bound first and stops when no bound beats its k-th score.
-Stored distances rule out nodes and rows before a distance is computed. Scores are exact integer
-products, and bounds get slack for rounding, so ties are never cut off.
+All queries of a task go through a tree together: each first to the leaf with the best bound, then
+to every node that its k-th score cannot rule out, where one matrix product serves all of them.
+Stored distances rule out nodes before a distance is computed. Scores are exact integer products, and
+bounds get slack for rounding, so ties are never cut off.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 2_048
 #: Rows for one more cell, and the most bytes that all pivots may take; every task holds them.
 CELL_ROWS = 1024
+ROWS_AT_ONCE = 256
 PIVOT_BYTES = 32 << 20
 SCALE = 256
 #: Stands for scores that are far from fitting a long.
@@ -49,13 +51,17 @@ def quantized(vector: Column) -> Column:
         F.abs(v) < 2.0 ** 44, F.floor(v * SCALE).cast("double")).otherwise(v * SCALE)))
 
 
-def products(rows: np.ndarray, query: np.ndarray) -> list[int]:
+def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Exact inner products of vectors of integers, in the narrowest arithmetic that holds them."""
-    most = float(np.abs(rows).max(initial=0.0)) * float(np.abs(query).max(initial=0.0)) * max(len(query), 1)
-    if most < 2.0 ** 53:
-        return (rows @ query).astype(np.int64).tolist()
-    wide = [int(x) for x in query]
-    return [sum(int(x) * y for x, y in zip(row, wide) if x and y) for row in rows.tolist()]
+    most = float(np.abs(rows).max(initial=0.0)) * float(np.abs(queries).max(initial=0.0))
+    if most * max(rows.shape[1], 1) < 2.0 ** 53:
+        return queries @ rows.T
+    wide = [[(i, int(x)) for i, x in enumerate(row) if x] for row in rows.tolist()]
+    out = np.zeros((len(queries), len(rows)), object)
+    for row, query in zip(out, queries.tolist()):
+        whole = [int(x) for x in query]
+        row[:] = [sum(x * whole[i] for i, x in some) for some in wide]
+    return out
 
 
 @dataclass
@@ -75,6 +81,17 @@ def _distances(points: np.ndarray, pivot: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(((points - pivot) ** 2).sum(axis=1), 0))
 
 
+def _all_distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """From each point to each pivot; rounding stays within the slack of ``reach``."""
+    squares = (points ** 2).sum(axis=1)[:, None] + (pivots ** 2).sum(axis=1) - 2 * (points @ pivots.T)
+    return np.sqrt(np.maximum(squares, 0, out=squares), out=squares)
+
+
+def _lowered(score):
+    """A bit less than a score, so that no equal one is lost by rounding."""
+    return score - 1e-9 * np.abs(score)
+
+
 def _split(points: np.ndarray, rows: np.ndarray, size: int) -> list[np.ndarray]:
     """Groups of at most ``size`` rows, halved along the line through two far points."""
     done, todo = [], [rows]
@@ -129,48 +146,80 @@ class Tree:
 
     def search(self, query: np.ndarray, own: int | None, top: int,
                known: float = -math.inf) -> tuple[list[tuple[int, int]], int]:
-        """``score, id`` of the best rows but ``own``, best first, and how many rows were looked at.
+        """``search_all`` for one query."""
+        return self.search_all(np.asarray(query, np.float64)[None], [own], top, np.array([known]))[0]
+
+    def search_all(self, queries: np.ndarray, own: list[int | None], top: int,
+                   known: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
+        """Per query: ``score, id`` of the best rows but ``own``, best first, and how many rows were
+        looked at.
 
         Ties go to the smaller id. Rows that score less than ``known`` need not be found.
         """
+        best: list[list[tuple[int, int]]] = [[] for _ in queries]
+        visited = np.zeros(len(queries), np.int64)
         if self.root is None:
-            return [], 0
-        at = np.append(query.astype(np.float64), 0.0)
-        total = float(at @ at) + self.most
-        best: list[tuple[int, int]] = []
-        visited = 0
-
-        def limit() -> float:
-            return reach(total, max(known, best[0][0] if len(best) == top else -math.inf))
-
-        start = float(np.sqrt(((self.root.pivot - at) ** 2).sum()))
-        heap = [(max(0.0, start - self.root.radius), 0, start, self.root)]
-        pushed = 0
-        while heap:
-            bound, _, to_pivot, node = heapq.heappop(heap)
-            far_off = limit()
-            if bound > far_off:
-                break
-            if node.rows is None:
-                near = np.flatnonzero(np.abs(to_pivot - node.to_pivot) - node.radii <= far_off)
-                far = _distances(node.pivots[near], at)
-                for i, d in zip(near.tolist(), far.tolist()):
-                    child = node.children[i]
-                    if d - child.radius <= far_off:
-                        pushed += 1
-                        heapq.heappush(heap, (max(0.0, d - child.radius), pushed, d, child))
-                continue
-            near = node.rows[np.abs(to_pivot - node.to_pivot) <= far_off]
-            visited += len(near)
-            for score, row in zip(products(self.vectors[near], query), near.tolist()):
-                found = (score, -int(self.ids[row]))
-                if self.ids[row] == own:
+            return list(zip(best, visited.tolist()))
+        at = np.column_stack([queries, np.zeros(len(queries))])
+        total = (at ** 2).sum(axis=1) + self.most
+        least = _lowered(np.asarray(known, np.float64))
+        far_off = reach(total, least)
+
+        def look(leaf: Node, active: np.ndarray) -> None:
+            """Multiply the queries with the leaf's rows."""
+            scores = products(queries[active], self.vectors[leaf.rows])
+            visited[active] += len(leaf.rows)
+            some, rows = np.nonzero(scores >= least[active][:, None])
+            for q, score, row in zip(active[some].tolist(), scores[some, rows].tolist(),
+                                     leaf.rows[rows].tolist()):
+                i, mine = int(self.ids[row]), best[q]
+                if i == own[q]:
                     continue
-                if len(best) < top:
-                    heapq.heappush(best, found)
-                elif found > best[0]:
-                    heapq.heapreplace(best, found)
-        return [(s, -i) for s, i in sorted(best, reverse=True)], visited
+                if len(mine) < top:
+                    heapq.heappush(mine, (int(score), -i))
+                elif (int(score), -i) > mine[0]:
+                    heapq.heapreplace(mine, (int(score), -i))
+            for q in set(active[some].tolist()):
+                if len(best[q]) == top:
+                    least[q] = max(least[q], _lowered(float(best[q][0][0])))
+                    far_off[q] = reach(total[q], least[q])
+
+        everyone = np.arange(len(queries))
+        to_root = _distances(at, self.root.pivot)
+        first = np.zeros(len(queries), np.int64)
+        todo = [(self.root, everyone)]
+        while todo:  # the leaf with the best bound of each query
+            node, active = todo.pop()
+            if node.rows is not None:
+                first[active] = id(node)
+                look(node, active)
+                continue
+            nearest = (_all_distances(at[active], node.pivots) - node.radii).argmin(axis=1)
+            todo += [(node.children[i], active[nearest == i]) for i in np.unique(nearest).tolist()]
+        todo = [(self.root, everyone, to_root)]
+        while todo:
+            node, active, to_pivot = todo.pop()
+            open_ = to_pivot - node.radius <= far_off[active]
+            if node.rows is not None:
+                open_ &= first[active] != id(node)
+            active, to_pivot = active[open_], to_pivot[open_]
+            if not len(active):
+                continue
+            if node.rows is not None:
+                near = np.abs(to_pivot[:, None] - node.to_pivot).min(axis=1) <= far_off[active]
+                if near.any():
+                    look(node, active[near])
+                continue
+            limit = far_off[active][:, None]
+            far = _all_distances(at[active], node.pivots)
+            near = (np.abs(to_pivot[:, None] - node.to_pivot) - node.radii <= limit) & (
+                far - node.radii <= limit)
+            # the nearest child comes last on the stack, so it is opened first
+            for i in np.argsort(-(far - node.radii).mean(axis=0), kind="stable").tolist():
+                if near[:, i].any():
+                    todo.append((node.children[i], active[near[:, i]], far[near[:, i], i]))
+        return [(sorted(((s, -i) for s, i in mine), key=lambda x: (-x[0], x[1])), seen)
+                for mine, seen in zip(best, visited.tolist())]
 
 
 def lifted(vectors: np.ndarray, most: float) -> np.ndarray:
@@ -214,10 +263,7 @@ class Space:
 
     def distances(self, points: np.ndarray) -> np.ndarray:
         """From each point to each pivot."""
-        out = np.empty((len(points), len(self.pivots)))
-        for row, point in zip(out, points):
-            row[:] = _distances(self.pivots, point)
-        return out
+        return _all_distances(points, self.pivots)
 
 
 def _space(rows: DataFrame, cell_rows: int) -> Space | None:
@@ -234,16 +280,24 @@ def _space(rows: DataFrame, cell_rows: int) -> Space | None:
     return Space(told.width, told.most, np.unique(lifted(points, told.most), axis=0))
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at once, since each has a distance to every pivot."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def _dealt(space):
     """``id, v`` → the nearest cell and the distance to its pivot."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = space.value
-        for batch in batches:
-            far = here.distances(lifted(_vectors(batch.column(1), here.width), here.most))
-            cell = far.argmin(axis=1) if len(far) else np.empty(0, np.int64)
+        for batch in _sliced(batches):
+            points = lifted(_vectors(batch.column(1), here.width), here.most)
+            cell = here.distances(points).argmin(axis=1)
+            far = np.sqrt(((points - here.pivots[cell]) ** 2).sum(axis=1))
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(cell.astype(np.int64)),
-                 pa.array(far[np.arange(len(far)), cell])], ["id", "v", "cell", "far"])
+                [batch.column(0), batch.column(1), pa.array(cell.astype(np.int64)), pa.array(far)],
+                ["id", "v", "cell", "far"])
 
     return task
 
@@ -263,10 +317,8 @@ def _visits(space, radii: dict[int, float], home: bool):
         here = space.value
         cells = np.array(sorted(radii))
         radius = np.array([radii[c] for c in cells.tolist()])
-        for batch in batches:
+        for batch in _sliced(batches):
             vectors = _vectors(batch.column(1), here.width)
-            if not len(vectors):
-                continue
             at = np.column_stack([vectors, np.zeros(len(vectors))])
             bound = np.maximum(here.distances(at)[:, cells] - radius, 0)
             first = bound.argmin(axis=1)
@@ -293,11 +345,11 @@ def _searched(space, top: int):
         for packed in have["tree"]:
             tree = pickle.loads(packed)
             queries = _stack(list(ask["v"]), space.value.width)
-            for own, digest, known, q in zip(ask["id"], ask["digest"], ask["known"], queries):
-                found, visited = tree.search(q, int(own), top, known)
+            each = tree.search_all(queries, ask["id"].tolist(), top, ask["known"].to_numpy())
+            for own, digest, known, (found, visited) in zip(ask["id"], ask["digest"], ask["known"], each):
                 # scores are text until the best are known, since only these have to fit a long
                 out += [(int(own), int(digest), i, str(max(-BEYOND, min(s, BEYOND))), 0)
-                        for s, i in found]
+                        for s, i in found if s >= _lowered(known)]
                 out.append((int(own), int(digest), None, None, visited))
         return pd.DataFrame(out, columns=["query_id", "digest", "id", "score", "visited"]).astype(
             {"id": "Int64"})
