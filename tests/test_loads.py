@@ -255,3 +255,34 @@ def test_a_replacement_that_was_cut_off_is_undone(spark, store, tmp_path):  # no
     (raw_folder / "numbers").rename(raw_folder / "_old-numbers")
     assert store.write(spark.range(2).toDF("x"), "raw", "numbers").count() == 2
     assert not list(raw_folder.glob("_old-*"))
+
+
+def test_a_split_is_stored_and_keys_are_counted_in_small_shares(spark, tmp_path, monkeypatch):
+    """No task sorts its rows by folder, or counts the keys of a whole split of the input."""
+    from pyspark.sql import DataFrameWriter
+    from pyspark.sql import functions as F
+
+    from veritable.operators import standardize
+    from veritable.sources.tables import Store
+
+    seen, plain, name = [], DataFrameWriter.parquet, "spark.sql.maxConcurrentOutputFileWriters"
+
+    def parquet(self, path, *args, **how):
+        seen.append(spark.conf.get(name))
+        return plain(self, path, *args, **how)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    before = spark.conf.get(name)
+    rows = spark.createDataFrame([("a", "1"), ("b", "x"), (None, "2")], "k string, v string")
+    store = Store(spark, str(tmp_path), register=False)
+    faults = F.filter(F.array(F.when(F.col("v") == "x", F.struct(F.lit("no number").alias("reason")))),
+                      lambda f: f.isNotNull())
+    split = store.write_split(rows, "staging", "t", faults, "rejects", max_rejected=None)
+    assert seen[0] == "2" and spark.conf.get(name) == before
+    assert sorted(map(tuple, split.accepted.collect()), key=repr) == [("a", "1"), (None, "2")]
+    assert [r.reason for r in split.rejects.collect()] == ["no number"]
+
+    found = standardize.key_problems(rows.unionByName(rows), ["k"])
+    assert sorted(map(tuple, found.collect()), key=repr) == [("a", 2), ("b", 2), (None, 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [_share" in plan

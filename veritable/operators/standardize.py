@@ -120,9 +120,15 @@ def standardize_sku_prefix(products: DataFrame, prefix: str = CANONICAL_PREFIX)
 
 
 def key_problems(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once or hold a NULL, with their row count ``n``."""
+    """Keys that occur more than once or hold a NULL, with their row count ``n``.
+
+    Nearly every key is one of its own, so a task's partial counts are as many as its rows. Rows are
+    dealt out by all their columns first: a task then holds the keys of its share, however large
+    the input's splits, and a hot key is still counted in many tasks.
+    """
     has_null = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
-    return keyed.group_sizes(df, keys).filter((F.col("n") > 1) | has_null)
+    dealt = df.select(*keys, F.xxhash64(*df.columns).alias("_share")).repartition("_share")
+    return keyed.group_sizes(dealt, keys).filter((F.col("n") > 1) | has_null)
 
 
 def collisions(products: DataFrame) -> DataFrame:
