@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,3 +80,19 @@ def test_whole_texts_when_pieces_cross(monkeypatch):
         whole(t) for t in CASES]
 
 
+
+
+@pytest.mark.parametrize("frequent", [0, 3, 300_000])
+def test_one_table_of_chunks_for_all_texts(spark, frequent):
+    """Each distinct chunk stands in the table once, whatever the partitions; ids are the library's."""
+    proto = PROTO
+    texts = [None, "", " ", "  two  spaces ", "the cat sat on the mat the cat", "the rare zyzzyva the zyzzyva",
+             "x" * 500 + " cat " + "x" * 500, "中文" * 60, "café ▁ mark", "a\tb\nc"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    table = pieces.chunk_table(df, proto)
+    assert table.count() == table.select("key").distinct().count()
+    counted = {r.key: r.n for r in table.collect()}
+    assert counted["the"] == 15 and counted["zyzzyva"] == 6
+    got = {r.id: list(r.ids) for r in pieces.encode_by_table(df, proto, frequent=frequent).collect()}
+    assert got == {i: whole(t) for i, t in enumerate(texts)}
+    assert pieces.encode_by_table(df.limit(0), proto).collect() == []
